@@ -1,0 +1,5 @@
+"""Empty on purpose.
+
+The work is a daily batch over the visits of one finished day; there is no stream, watermark or
+streaming state to rebuild.
+"""
