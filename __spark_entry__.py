@@ -75,17 +75,19 @@ def _wide_sql() -> str:
     )
 
 
-# Scores of two model versions for every day, each load of version v1 made twice.
-HISTORY_SQL = """
-SELECT CAST(visit_id AS VARCHAR(20)) AS VISIT_ID,
-       CAST(score * factor AS FLOAT) AS PREDICTED_FRAUD_SCORE,
-       version AS MODEL_VERSION,
-       CAST(created_at AS DATE) AS SCORE_DATE,
-       created_at + INTERVAL '1' DAY + CASE WHEN again = 1 THEN INTERVAL '1' HOUR ELSE INTERVAL '0' HOUR END AS SCORED_AT,
-       created_at + INTERVAL '1' DAY AS CREATED_AT
-FROM (SELECT visit_id, created_at, COALESCE(CAST(visit_count AS DOUBLE), 0e0) AS score FROM {visits}) v
-CROSS JOIN (VALUES ('v1', 1e0, 0), ('v1', 5e-1, 1), ('v2', 25e-2, 0)) AS m(version, factor, again)
-"""
+# Scores of two model versions for every day, each load of version v1 made twice: (version, factor, hours).
+LOADS = (("v1", 1.0, 0), ("v1", 0.5, 1), ("v2", 0.25, 0))
+
+
+def _history_sql(visits: str) -> str:
+    loads = [
+        f"""SELECT CAST(visit_id AS VARCHAR) AS VISIT_ID,
+CAST(COALESCE(CAST(visit_count AS DOUBLE), 0e0) * CAST({factor} AS DOUBLE) AS FLOAT) AS PREDICTED_FRAUD_SCORE,
+'{version}' AS MODEL_VERSION, CAST(created_at AS DATE) AS SCORE_DATE,
+created_at + INTERVAL {24 + hours} HOUR AS SCORED_AT, created_at + INTERVAL 24 HOUR AS CREATED_AT FROM {visits}"""
+        for version, factor, hours in LOADS
+    ]
+    return " UNION ALL ".join(loads)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +103,21 @@ def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(HISTORY_SQL, visits=_visits(spark, sf_dir))
+    loads = [F.struct(F.lit(v).alias("v"), F.lit(f).alias("f"), F.lit(h).alias("h")) for v, f, h in LOADS]
+    score_of = F.coalesce(F.col("visit_count").cast("double"), F.lit(0.0)) * F.col("load.f")
+    scored_at = F.col("created_at") + F.make_interval(hours=24 + F.col("load.h"))
+    return (
+        _visits(spark, sf_dir)
+        .select("visit_id", "created_at", "visit_count", F.explode(F.array(*loads)).alias("load"))
+        .select(
+            F.col("visit_id").cast("string").alias("VISIT_ID"),
+            score_of.cast("float").alias("PREDICTED_FRAUD_SCORE"),
+            F.col("load.v").alias("MODEL_VERSION"),
+            F.to_date("created_at").alias("SCORE_DATE"),
+            scored_at.alias("SCORED_AT"),
+            (F.col("created_at") + F.make_interval(hours=F.lit(24))).alias("CREATED_AT"),
+        )
+    )
 
 
 def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -294,13 +310,13 @@ def model_versions(spark, sf_dir):
     ):
         boost.register_version(boost.version_rows(measured, version, at), folder)
     versions = boost.read_versions(spark, folder)
-    picked = boost.latest_version(versions).select(F.col("model_version").alias("latest"))
-    return versions.crossJoin(F.broadcast(picked)).select(
+    latest = boost.latest_version(versions).first()["model_version"]
+    return versions.select(
         "model_version",
         "trained_at",
         "dataset",
         *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")],
-        "latest",
+        F.lit(latest).alias("latest"),
     )
 
 
@@ -558,7 +574,7 @@ scoring AS (SELECT visit_id, {features} FROM clean WHERE CAST(created_at AS DATE
 first_day AS (SELECT * FROM clean WHERE CAST(created_at AS DATE) = DATE '2024-01-01'),
 train_side AS (SELECT * FROM training WHERE data_split = 'TRAIN'),
 scored AS (SELECT visit_id, {simple} AS prediction FROM scoring),
-history AS ({HISTORY_SQL.format(visits="visits")})
+history AS ({_history_sql("visits")})
 """
 
     def codes(source: str) -> str:

@@ -69,7 +69,6 @@ def _regressor(params: BoostParams, rounds: int) -> GBTRegressor:
         maxBins=params.bins,
         seed=params.seed,
         maxMemoryInMB=params.histogram_mb,
-        cacheNodeIds=True,
         checkpointInterval=params.checkpoint_every,
     )
 
