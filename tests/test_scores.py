@@ -1,0 +1,115 @@
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+
+from visitrisk.operators import reports
+from visitrisk.operators import scores as sc
+from visitrisk.spec import FeatureSpec
+
+SPEC = FeatureSpec((), (), (), target="y", id="visit_id", event_time="created_at")
+AS_OF = date(2024, 1, 31)
+AT = datetime(2024, 1, 31, 3)
+
+
+def rows(spark, pairs, version="v1", at=AT):
+    scored = spark.createDataFrame(pairs, "visit_id int, prediction double")
+    return sc.score_rows(scored, SPEC, AS_OF, version, scored_at=at)
+
+
+def test_score_row(spark):
+    row = rows(spark, [(7, 12.5)])
+    assert row.schema == sc.score_table_schema(SPEC) or row.dtypes == [
+        (f.name, f.dataType.simpleString()) for f in sc.score_table_schema(SPEC)
+    ]
+    assert tuple(row.first()) == ("7", 12.5, "v1", date(2024, 1, 30), AT, AT)
+
+
+def test_run_time_is_one_moment(spark):
+    scored = spark.range(100).selectExpr("id AS visit_id", "0.5D AS prediction")
+    times = sc.score_rows(scored, SPEC, AS_OF).agg(F.count_distinct("SCORED_AT"), F.max("MODEL_VERSION")).first()
+    assert tuple(times) == (1, "unknown")
+
+
+def test_append_twice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sc.create_score_table(spark, SPEC, path)
+    sc.create_score_table(spark, SPEC, path)
+    for batch in ([(1, 1.0), (2, 2.0)], [(1, 1.0), (2, 2.0)], [(2, 9.0), (3, 3.0)]):
+        sc.append_scores(rows(spark, batch), sc.read_score_table(spark, SPEC, path), SPEC, path)
+    stored = sc.read_score_table(spark, SPEC, path).orderBy("VISIT_ID").collect()
+    assert [(r["VISIT_ID"], r["PREDICTED_FRAUD_SCORE"]) for r in stored] == [("1", 1.0), ("2", 2.0), ("3", 3.0)]
+
+
+def test_replace_keeps_other_versions_and_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sc.replace_scores(rows(spark, [(1, 1.0), (2, 2.0)]), SPEC, path)
+    sc.replace_scores(rows(spark, [(1, 5.0)], version="0012"), SPEC, path)
+    sc.replace_scores(rows(spark, [(1, 1.5), (2, 2.5)]), SPEC, path)
+    stored = sc.read_score_table(spark, SPEC, path)
+    assert stored.dtypes == [(f.name, f.dataType.simpleString()) for f in sc.score_table_schema(SPEC)]
+    found = {(r["VISIT_ID"], r["MODEL_VERSION"]): r["PREDICTED_FRAUD_SCORE"] for r in stored.collect()}
+    assert found == {("1", "v1"): 1.5, ("2", "v1"): 2.5, ("1", "0012"): 5.0}
+    assert stored.count() == 3
+
+
+def test_pairing_is_by_key_whatever_the_partitions(spark):
+    scored = spark.range(1000).selectExpr("id AS visit_id", "id * 2.0D AS prediction")
+    ids = scored.select("visit_id")
+    paired = sc.pair_scores(ids.repartition(4), scored.union(scored).repartition(7), "visit_id")
+    assert paired.count() == 1000
+    assert paired.filter("prediction != visit_id * 2").count() == 0
+
+
+def test_hot_id_is_split_in_the_pairing(spark, settings, plan_of):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="2KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2KB",
+        spark__sql__shuffle__partitions="32",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    ids = spark.range(0, 60000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("visit_id"),
+        F.md5(F.col("id").cast("string")).alias("other"),
+    )
+    scored = spark.range(60000).selectExpr("id AS visit_id", "id * 1.0D AS prediction")
+    paired = sc.pair_scores(ids, scored.union(scored), "visit_id")
+    plan = plan_of(paired)
+    assert "skew=true" in plan
+    assert paired.count() == 60000
+
+
+def test_join_back_does_not_multiply_visits(spark):
+    visits = spark.createDataFrame(
+        [(1, datetime(2024, 1, 30, 5)), (2, datetime(2024, 1, 30, 6)), (3, datetime(2024, 1, 29, 6))],
+        "visit_id int, created_at timestamp_ntz",
+    )
+    twice = rows(spark, [(1, 1.0), (3, 3.0)]).union(rows(spark, [(1, 2.0)], at=datetime(2024, 1, 31, 4)))
+    joined = sc.join_back(visits, twice, SPEC)
+    assert joined.columns == ["visit_id", "created_at", "PREDICTED_FRAUD_SCORE", "MODEL_VERSION"]
+    found = {r["visit_id"]: (r["PREDICTED_FRAUD_SCORE"], r["MODEL_VERSION"]) for r in joined.collect()}
+    assert joined.count() == 3
+    assert found == {1: (2.0, "v1"), 2: (None, None), 3: (None, None)}
+
+
+def test_reports(spark):
+    table = rows(spark, [(1, 1.0), (2, 3.0)]).union(rows(spark, [(1, 7.0)], "v2", datetime(2024, 1, 31, 9)))
+    assert [r["MODEL_VERSION"] for r in reports.scores_of(table, SPEC, "1").collect()] == ["v2", "v1"]
+    assert reports.scores_on(table, date(2024, 1, 29)).count() == 0
+    assert tuple(reports.daily_average(table).first()) == (date(2024, 1, 30), 11 / 3, 3)
+    assert reports.preview(table, 2).count() == 2
+
+
+def test_day_report_reads_one_partition(spark, tmp_path, plan_of):
+    path = str(tmp_path / "t")
+    sc.replace_scores(rows(spark, [(1, 1.0)]), SPEC, path)
+    plan = plan_of(reports.scores_on(sc.read_score_table(spark, SPEC, path), date(2024, 1, 30)))
+    assert "PartitionFilters: [isnotnull(SCORE_DATE" in plan
+
+
+def test_append_reads_only_the_day_it_adds(spark, tmp_path, plan_of):
+    path = str(tmp_path / "t")
+    sc.replace_scores(rows(spark, [(1, 1.0)]), SPEC, path)
+    stored = sc.read_score_table(spark, SPEC, path)
+    plan = plan_of(sc.not_yet_stored(rows(spark, [(1, 1.0), (2, 1.0)]), stored, SPEC))
+    assert "(SCORE_DATE" in plan.split("PartitionFilters: ")[1].split("]")[0]
