@@ -50,6 +50,9 @@ def test_equals_sql(spark, duck, name):
     rows = [tuple(r) for r in result.collect()]
     assert normalised(result.columns, rows) == normalised(expected.columns, expected.fetchall())
     assert rows
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan
 
 
 def test_only_model_queries_lack_sql():

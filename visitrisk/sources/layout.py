@@ -7,15 +7,15 @@ from datetime import date
 RUN_DATE = "run_date"
 SCORE_DAY = "score_date"
 
-# Quotes are doubled inside quoted text, blanks are kept, and NULL has a mark of its own: empty text
-# is then different from NULL, and a NULL alone on its line is not lost as a blank line.
+# Quotes are doubled inside quoted text and blanks are kept. The mark of NULL is a control character,
+# so no ordinary text is taken for NULL, empty text (written "") differs from it, and a NULL alone on
+# its line is not lost as a blank line. An unquoted empty field from elsewhere is NULL too.
 CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "nullValue": "\\N",
-    "emptyValue": "",
+    "nullValue": "\u007f",
 }
 
 
