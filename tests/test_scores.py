@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from visitrisk.operators import reports
@@ -60,7 +61,9 @@ def test_pairing_is_by_key_whatever_the_partitions(spark):
     assert paired.filter("prediction != visit_id * 2").count() == 0
 
 
-def test_hot_id_is_split_in_the_pairing(spark, settings, plan_of):
+@pytest.fixture
+def small_skew(settings):
+    """Let adaptive execution split test-sized partitions as it splits large ones."""
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="2KB",
@@ -68,17 +71,40 @@ def test_hot_id_is_split_in_the_pairing(spark, settings, plan_of):
         spark__sql__shuffle__partitions="32",
         spark__sql__adaptive__coalescePartitions__enabled="false",
     )
-    ids = spark.range(0, 60000, numPartitions=16).select(
-        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("visit_id"),
+
+
+def hot_ids(spark, third_id=5):
+    return spark.range(0, 60000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, third_id).otherwise(F.col("id")).alias("visit_id"),
         F.md5(F.col("id").cast("string")).alias("other"),
     )
+
+
+def test_hot_id_is_split_in_the_pairing(spark, small_skew, plan_of):
     scored = spark.range(60000).selectExpr("id AS visit_id", "id * 1.0D AS prediction")
-    paired = sc.pair_scores(ids, scored.union(scored), "visit_id")
-    plan = plan_of(paired)
-    assert "skew=true" in plan
+    paired = sc.pair_scores(hot_ids(spark), scored.union(scored), "visit_id")
+    assert "skew=true" in plan_of(paired)
     assert paired.count() == 60000
 
 
+@pytest.mark.parametrize("hot", [5, None])
+def test_hot_id_is_split_in_the_join_back(spark, small_skew, plan_of, hot):
+    visits = hot_ids(spark, hot).withColumn("created_at", F.lit("2024-01-30").cast("timestamp_ntz"))
+    scored = spark.range(60000).selectExpr("id AS visit_id", "id * 1.0D AS prediction")
+    scores = sc.score_rows(scored, SPEC, AS_OF, "v1", scored_at=AT)
+    joined = sc.join_back(visits, scores, SPEC)
+    assert "skew=true" in plan_of(joined)
+    assert joined.count() == 60000
+
+
+def test_hot_id_is_split_in_the_append(spark, small_skew, plan_of):
+    stored = sc.score_rows(hot_ids(spark).withColumn("prediction", F.lit(1.0)), SPEC, AS_OF, "v1", scored_at=AT)
+    batch = sc.score_rows(hot_ids(spark, 6).withColumn("prediction", F.rand(1)), SPEC, AS_OF, "v1", scored_at=AT)
+    new = sc.not_yet_stored(batch, stored.filter("VISIT_ID != '6' AND CAST(VISIT_ID AS INT) % 2 = 1"), SPEC)
+    assert "skew=true" in plan_of(new)
+    assert new.count() == batch.filter("VISIT_ID = '6' OR CAST(VISIT_ID AS INT) % 2 = 0").count()
+
+
 def test_join_back_does_not_multiply_visits(spark):
     visits = spark.createDataFrame(
         [(1, datetime(2024, 1, 30, 5)), (2, datetime(2024, 1, 30, 6)), (3, datetime(2024, 1, 29, 6))],

@@ -18,7 +18,7 @@ from visitrisk.spec import ENCODED_SUFFIX
 UNKNOWN = -1
 
 # Codes are broadcast, smallest feature first, until they would exceed this many bytes in sum.
-BROADCAST_BYTES = 256 << 20
+BROADCAST_BYTES = 128 << 20
 ROW_OVERHEAD_BYTES = 64
 
 # A value is common when it fills at least 1/COMMON_SHARE of the rows: never more than
@@ -122,14 +122,15 @@ def encode(
     A feature whose codes are measured to be small is looked up in a broadcast table. A larger one is
     joined by shuffle; before that, its common values (they may be a third of all rows) are taken out
     by a broadcast of at most ``COMMON_SHARE`` rows, and their rows are spread over the partitions.
+    Small features come first, so the shuffled rows already hold their codes instead of their text.
     """
     small = _broadcastable(codes, columns, broadcast_bytes)
     large = [c for c in columns if c not in small]
     common = _common_codes(df, codes, large) if large else None
 
     others = [c for c in df.columns if c not in columns]
-    result, encoded = df, []
-    for i, column in enumerate(columns):
+    result, encoded = df, {}
+    for i, column in enumerate([c for c in columns if c in small] + large):
         text = F.col(column).cast("string")
         value, code = f"__value_{i}", f"__code_{i}"
         if column in small:
@@ -152,8 +153,8 @@ def encode(
                 .drop(key, value)
             )
             found = F.coalesce(F.col(hot_code), F.when(text.isNotNull(), F.col(code)))
-        encoded.append(F.coalesce(found, F.lit(UNKNOWN)).alias(column + ENCODED_SUFFIX))
-    return result.select(*others, *encoded)
+        encoded[column] = F.coalesce(found, F.lit(UNKNOWN)).alias(column + ENCODED_SUFFIX)
+    return result.select(*others, *[encoded[c] for c in columns])
 
 
 def write_codes(codes: DataFrame, path: str) -> None:

@@ -40,6 +40,9 @@ class BoostParams:
 
     # First number of rounds tried; each further try has four times as many.
     first_try: int = 100
+    # Every round visits all partitions several times: on a large dataset, two or three per core are
+    # enough. None keeps those of the scan.
+    partitions: int | None = None
     histogram_mb: int = 1024
     checkpoint_every: int = 10
 
@@ -117,6 +120,8 @@ def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostPa
     shared_folder(matrix.sparkSession)  # the booster checkpoints its running errors there
     assemble = assembler(names)
     rows = assemble.transform(matrix).select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), SPLIT)
+    if params.partitions is not None:
+        rows = rows.coalesce(params.partitions)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model, errors = _boost(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from visitrisk.functions import cleaning
 from visitrisk.functions.days import yesterday
 from visitrisk.operators.reports import scores_on
 from visitrisk.operators.scores import (
@@ -14,6 +16,7 @@ from visitrisk.operators.scores import (
     create_score_table,
     pair_scores,
     read_score_table,
+    rejected_scores,
     replace_scores,
     score_rows,
 )
@@ -21,6 +24,8 @@ from visitrisk.sources.layout import SCORE_DAY, in_partition
 from visitrisk.sources.readers import read_ids_csv, read_predictions_csv
 from visitrisk.spec import FeatureSpec
 
+log = logging.getLogger(__name__)
+
 
 def load_scores(
     spark: SparkSession,
@@ -50,10 +55,15 @@ def load_external_scores(
 ) -> int:
     """The same for scores made elsewhere: an ids CSV and an ``id,prediction`` CSV, paired by id.
 
-    Rows are added to what the table holds; those it already holds are left out.
+    Rows are added to what the table holds; those it already holds are left out. A prediction that is
+    no number is loaded as NULL and counted in the log.
     """
-    id_rows = read_ids_csv(spark, ids, spec.id, id_type)
-    paired = pair_scores(id_rows, read_predictions_csv(spark, predictions, "prediction", spec.id, id_type), spec.id)
+    text = read_predictions_csv(spark, predictions, "prediction", spec.id, id_type)
+    checked = rejected_scores(text, "prediction").first()
+    if checked["rejected"]:
+        log.warning("%d of %d predictions are no numbers", checked["rejected"], checked["read"])
+    numbers = text.select(spec.id, cleaning.score("prediction").alias("prediction"))
+    paired = pair_scores(read_ids_csv(spark, ids, spec.id, id_type), numbers, spec.id)
     rows = score_rows(paired, spec, as_of, version, scored_at=scored_at)
     create_score_table(spark, spec, table)
     append_scores(rows, _stored(spark, spec, as_of, version, table), spec, table)

@@ -19,6 +19,7 @@ def session(name: str, master: str | None = None, **settings: str) -> SparkSessi
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master is not None:
         builder = builder.master(master)

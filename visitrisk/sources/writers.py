@@ -23,8 +23,13 @@ def write_scoring(extract: DataFrame, base: str, day: date) -> None:
     extract.write.mode("overwrite").parquet(in_partition(base, SCORE_DAY, day))
 
 
+# A file with line breaks inside text is read by one task, so no file may grow large.
+CSV_ROWS_PER_FILE = 1_000_000
+
+
 def _csv(df: DataFrame, path: str, header: bool) -> None:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).option("header", header).csv(path)
+    writer = df.write.mode("overwrite").options(**CSV_OPTIONS).option("header", header)
+    writer.option("maxRecordsPerFile", CSV_ROWS_PER_FILE).csv(path)
 
 
 def write_ids_csv(complete: DataFrame, spec: FeatureSpec, path: str) -> None:
