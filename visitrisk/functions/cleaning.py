@@ -11,7 +11,7 @@ MISSING = "MISSING"
 
 def flag(column: str) -> Column:
     """1 for true, 0 for false and for NULL."""
-    return F.when(F.col(column), 1).otherwise(0).alias(column)
+    return F.when(F.col(column).cast("boolean"), 1).otherwise(0).alias(column)
 
 
 def category(column: str) -> Column:
