@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from visitrisk.functions.split import TEST, TRAIN, split_key, split_label
@@ -29,3 +30,10 @@ def test_disjoint_complete_and_a_fifth(spark):
 def test_seed_changes_the_split(spark):
     both = spark.range(1000).select(split_label("id").alias("a"), split_label("id", seed=7).alias("b"))
     assert 0 < both.filter("a != b").count() < 1000
+
+
+@pytest.mark.parametrize("share", [0.0, 1e-9, 0.2, 0.5, 0.999, 1 - 2.0**-32, 1.0])
+def test_label_is_the_key_below_the_share(spark, share):
+    ids = spark.range(3000).withColumn("id", F.when(F.col("id") > 0, F.col("id")))
+    below = F.when(split_key("id") < share, TEST).otherwise(TRAIN)
+    assert ids.filter(split_label("id", share) != below).isEmpty()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,16 +16,27 @@ TEST = "TEST"
 SPLIT = "data_split"
 
 
+def _hash(id_column: str, seed: int) -> Column:
+    """The first 32 bits of ``md5('<seed>:<id>')`` as eight hex digits."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
+    return F.substring(F.md5(text), 1, 8)
+
+
 def split_key(id_column: str, seed: int = SEED) -> Column:
-    """Uniform number in [0, 1) from the first 32 bits of ``md5('<seed>:<id>')``.
+    """Uniform number in [0, 1).
 
     It depends on nothing but the id and the seed, so neither a rerun, a lost executor nor another
     partitioning moves a row to the other side.
     """
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+    return F.conv(_hash(id_column, seed), 16, 10).cast("double") / F.lit(2.0**32)
 
 
 def split_label(id_column: str, test_share: float = TEST_SHARE, seed: int = SEED) -> Column:
-    side = F.when(split_key(id_column, seed) < test_share, TEST).otherwise(TRAIN)
-    return side.alias(SPLIT)
+    """TEST where ``split_key < test_share``, else TRAIN.
+
+    Compares the hex digits, which sort as the numbers do; turning each into a number costs as much
+    as the hash.
+    """
+    bound = math.ceil(test_share * 2**32)
+    below = _hash(id_column, seed) < f"{bound:08x}" if bound < 2**32 else F.lit(True)
+    return F.when(below, TEST).otherwise(TRAIN).alias(SPLIT)
