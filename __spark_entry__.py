@@ -231,6 +231,11 @@ def ordinal_transform(spark, sf_dir):
     return enc.encode(cleaned, _first_day_codes(spark, sf_dir), VISITS.categorical)
 
 
+def ordinal_transform_broadcast(spark, sf_dir):
+    cleaned = _clean(spark, sf_dir).select(VISITS.id, *VISITS.categorical)
+    return enc.encode(cleaned, _first_day_codes(spark, sf_dir), VISITS.categorical, inline_bytes=0)
+
+
 def ordinal_transform_shuffled(spark, sf_dir):
     cleaned = _clean(spark, sf_dir).select(VISITS.id, *VISITS.categorical)
     return enc.encode(cleaned, _first_day_codes(spark, sf_dir), VISITS.categorical, broadcast_bytes=0)
@@ -540,6 +545,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q44_model_versions": model_versions,
         "q45_expired_folders": expired_folders,
         "q46_daily_run": daily_run,
+        "q47_ordinal_transform_broadcast": ordinal_transform_broadcast,
     }
 
 
@@ -694,5 +700,6 @@ SELECT count(*) AS read, count(*) FILTER (raw IS NOT NULL AND TRY_CAST(raw AS FL
 round(m.mae, 6) AS mae, round(m.r2, 6) AS r2, 'model-b' AS latest FROM ({measured("dataset")}) m
 CROSS JOIN (VALUES ('model-a', TIMESTAMP '2024-01-16 02:00:00'), ('model-b', TIMESTAMP '2024-01-31 02:00:00'))
 AS v(model_version, trained_at)""",
+        "q47_ordinal_transform_broadcast": transformed,
         "q45_expired_folders": f"{head} {due('inference', 'expire', '2024-02-20', 30)}",
     }

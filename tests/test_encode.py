@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from visitrisk.operators import encode as enc
 
 
+# Looked up inside a projection, by a broadcast join, by a shuffled join.
+LIMITS = [(enc.BROADCAST_BYTES, enc.INLINE_BYTES), (enc.BROADCAST_BYTES, 0), (0, 0)]
+
+
 def codes_of(codes):
     return {(r["feature"], r["value"]): r["code"] for r in codes.collect()}
 
@@ -29,8 +33,8 @@ def test_code_point_order(spark):
 def test_unknown_and_null_are_minus_one(spark):
     codes = enc.fit_codes(spark.createDataFrame([("a",), ("b",)], "c string"), ["c"])
     rows = spark.createDataFrame([(1, "b"), (2, "q"), (3, None)], "id int, c string")
-    for limit in (enc.BROADCAST_BYTES, 0):
-        found = {r["id"]: r["c_ENCODED"] for r in enc.encode(rows, codes, ["c"], limit).collect()}
+    for limits in LIMITS:
+        found = {r["id"]: r["c_ENCODED"] for r in enc.encode(rows, codes, ["c"], *limits).collect()}
         assert found == {1: 1, 2: -1, 3: -1}
 
 
@@ -61,15 +65,16 @@ def test_against_brute_force(spark, fit, other):
     )
 
 
-def test_shuffled_lookup_equals_broadcast_lookup_on_skewed_values(spark, monkeypatch):
+def test_every_lookup_gives_the_same_on_skewed_values(spark, monkeypatch):
     monkeypatch.setattr(enc, "COMMON_SHARE", 10)
     rows = [(i, "hot" if i % 3 == 0 else f"v{i % 500}", "new" if i % 2 else f"w{i % 90}") for i in range(6000)]
     frame = spark.createDataFrame(rows, "id int, a string, b string").repartition(8)
     codes = enc.fit_codes(frame.filter("b != 'new' AND id < 4000"), ["a", "b"])
-    small = enc.encode(frame, codes, ["a", "b"])
-    large = enc.encode(frame, codes, ["a", "b"], broadcast_bytes=0)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-    assert large.count() == 6000
+    inline, broadcast, shuffled = (enc.encode(frame, codes, ["a", "b"], *limits) for limits in LIMITS)
+    expected = sorted(map(tuple, inline.collect()))
+    assert sorted(map(tuple, broadcast.collect())) == expected
+    assert sorted(map(tuple, shuffled.collect())) == expected
+    assert len(expected) == 6000
 
 
 def test_common_values_are_few_and_spread(spark, settings, monkeypatch):
@@ -86,13 +91,30 @@ def test_common_values_are_few_and_spread(spark, settings, monkeypatch):
     assert max(r["count"] for r in sizes) < 8000 / 8 * 2
 
 
-def test_broadcast_budget_counts_all_features(spark):
+def test_budget_counts_all_features(spark):
     codes = spark.createDataFrame(
         [("a", "x", 0), ("b", "y" * 100, 0), ("c", "z" * 1000, 0)], "feature string, value string, code int"
     )
-    assert enc._broadcastable(codes, ["c", "b", "a"], 300) == {"a", "b"}
-    assert enc._broadcastable(codes, ["c", "b", "a"], 100) == {"a"}
-    assert enc._broadcastable(codes, ["c", "b", "a", "unseen"], 5000) == {"a", "b", "c", "unseen"}
+    sizes = enc._sizes(codes)
+    assert enc._within(sizes, ["c", "b", "a"], 300) == ["a", "b"]
+    assert enc._within(sizes, ["c", "b", "a"], 100) == ["a"]
+    assert enc._within(sizes, ["c", "b", "a"], 5000) == ["a", "b", "c"]
+
+
+def test_lookups_follow_the_measured_sizes(spark, plan_of):
+    rows = spark.createDataFrame([("x", "y" * 100, "z" * 1000, "u")], "a string, b string, c string, unseen string")
+    codes = enc.fit_codes(rows, ["a", "b", "c"])
+    encoded = enc.encode(rows, codes, ["a", "b", "c", "unseen"], broadcast_bytes=300, inline_bytes=100)
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    assert "__index_0" in plan and "__index_1" not in plan
+    assert "__value_0" in plan and "__key_0" not in plan and "__key_1" in plan
+    assert [tuple(r) for r in encoded.collect()] == [(0, 0, 0, -1)]
+
+
+def test_codes_with_gaps_are_joined(spark):
+    codes = spark.createDataFrame([("a", "x", 3), ("a", "y", 9)], "feature string, value string, code int")
+    rows = spark.createDataFrame([("x",), ("y",), ("q",)], "a string")
+    assert sorted(r[0] for r in enc.encode(rows, codes, ["a"]).collect()) == [-1, 3, 9]
 
 
 def test_saved_codes_keep_text(spark, tmp_path):
@@ -102,8 +124,8 @@ def test_saved_codes_keep_text(spark, tmp_path):
     assert codes_of(enc.read_codes(spark, str(tmp_path / "codes"))) == expected_codes(rows, ["c"])
 
 
-@pytest.mark.parametrize("limit", [enc.BROADCAST_BYTES, 0])
-def test_duplicate_rows_stay(spark, limit):
+@pytest.mark.parametrize("limits", LIMITS)
+def test_duplicate_rows_stay(spark, limits):
     rows = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)] * 3, "c string, n int")
-    encoded = enc.encode(rows, enc.fit_codes(rows, ["c"]), ["c"], limit)
+    encoded = enc.encode(rows, enc.fit_codes(rows, ["c"]), ["c"], *limits)
     assert encoded.groupBy("n").count().orderBy("n").collect() == [(1, 50), (2, 3)]

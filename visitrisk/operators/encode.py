@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +18,9 @@ from visitrisk.spec import ENCODED_SUFFIX
 # Fixed value: the code of a value that was not fitted.
 UNKNOWN = -1
 
-# Codes are broadcast, smallest feature first, until they would exceed this many bytes in sum.
+# Smallest feature first: codes up to the first sum go into the tasks with the plan, up to the second
+# into broadcast joins.
+INLINE_BYTES = 4 << 20
 BROADCAST_BYTES = 128 << 20
 ROW_OVERHEAD_BYTES = 64
 
@@ -69,18 +72,49 @@ def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _broadcastable(codes: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
+def _sizes(codes: DataFrame) -> dict[str, int]:
+    """Bytes of each feature's codes: one row per feature."""
     size = F.sum(F.octet_length("value") + ROW_OVERHEAD_BYTES).alias("bytes")
-    measured = {r["feature"]: r["bytes"] for r in codes.groupBy("feature").agg(size).collect()}
-    chosen, used = set(), 0
-    for column in sorted(columns, key=lambda c: measured.get(c, 0)):
-        used += measured.get(column, 0)
+    return {r["feature"]: r["bytes"] for r in codes.groupBy("feature").agg(size).collect()}
+
+
+def _within(sizes: dict[str, int], columns: Sequence[str], limit: int) -> list[str]:
+    """The columns, smallest first, whose codes stay within ``limit`` bytes in sum."""
+    chosen, used = [], 0
+    for column in sorted(columns, key=lambda c: sizes.get(c, 0)):
+        used += sizes.get(column, 0)
         if used > limit:
             break
-        chosen.add(column)
+        chosen.append(column)
     return chosen
 
 
+def _labels(codes: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Values by code, for the columns whose codes are 0..n-1. Only for columns measured to be small."""
+    by_code: dict[str, dict[int, str]] = {}
+    for row in codes.filter(F.col("feature").isin(list(columns))).collect():
+        by_code.setdefault(row["feature"], {})[row["code"]] = row["value"]
+    return {
+        feature: [values[i] for i in range(len(values))]
+        for feature, values in by_code.items()
+        if set(values) == set(range(len(values)))
+    }
+
+
+def _index_inline(df: DataFrame, labels: dict[str, list[str]]) -> tuple[DataFrame, dict[str, Column]]:
+    """Look up many small features in one projection; a chain of joins would copy each wide row per join."""
+    columns = list(labels)
+    indexer = StringIndexerModel.from_arrays_of_labels(
+        list(labels.values()), columns, [f"__index_{i}" for i in range(len(columns))], handleInvalid="keep"
+    )
+    # The indexer gives every other value, NULL too, the index after the last label.
+    found = {
+        c: F.when(F.col(f"__index_{i}") < len(labels[c]), F.col(f"__index_{i}").cast("int"))
+        for i, c in enumerate(columns)
+    }
+    return indexer.transform(df), found
+
+
 def _common_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Codes (or -1) of the values that fill much of ``df`` itself, whether fitted or not."""
     rows = df.count()
@@ -116,28 +150,36 @@ def encode(
     codes: DataFrame,
     columns: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
+    inline_bytes: int = INLINE_BYTES,
 ) -> DataFrame:
     """Replace each of ``columns`` by ``<column>_ENCODED``; every row stays, once.
 
-    A feature whose codes are measured to be small is looked up in a broadcast table. A larger one is
-    joined by shuffle; before that, its common values (they may be a third of all rows) are taken out
-    by a broadcast of at most ``COMMON_SHARE`` rows, and their rows are spread over the partitions.
-    Small features come first, so the shuffled rows already hold their codes instead of their text.
+    The size of each feature's codes is measured. The smallest are looked up by an indexer inside one
+    projection, larger ones by a broadcast join, and those beyond the limits by a shuffled join. Before
+    the latter, the common values of a column (they may be a third of all rows) are taken out by a
+    broadcast of at most ``COMMON_SHARE`` rows, and their rows are spread over the partitions. Small
+    features come first, so the shuffled rows already hold their codes instead of their text.
     """
-    small = _broadcastable(codes, columns, broadcast_bytes)
-    large = [c for c in columns if c not in small]
+    sizes = _sizes(codes)
+    fitted = [c for c in columns if c in sizes]
+    small = _within(sizes, fitted, broadcast_bytes)
+    large = [c for c in fitted if c not in small]
+    labels = _labels(codes, _within(sizes, small, inline_bytes))
     common = _common_codes(df, codes, large) if large else None
 
     others = [c for c in df.columns if c not in columns]
-    result, encoded = df, {}
-    for i, column in enumerate([c for c in columns if c in small] + large):
+    result, found = df, dict.fromkeys(columns, F.lit(None).cast("int"))
+    if labels:
+        result, indexed = _index_inline(result, labels)
+        found.update(indexed)
+    for i, column in enumerate([c for c in small if c not in labels] + large):
         text = F.col(column).cast("string")
         value, code = f"__value_{i}", f"__code_{i}"
         if column in small:
             result = result.join(
                 F.broadcast(_lookup(codes, column, value, code)), text == F.col(value), "left"
             ).drop(value)
-            found = F.col(code)
+            found[column] = F.col(code)
         else:
             hot_value, hot_code, key = f"__common_value_{i}", f"__common_code_{i}", f"__key_{i}"
             rare = F.col(hot_code).isNull() & text.isNotNull()
@@ -152,9 +194,9 @@ def encode(
                 .join(_lookup(codes, column, value, code), F.col(key) == F.col(value), "left")
                 .drop(key, value)
             )
-            found = F.coalesce(F.col(hot_code), F.when(text.isNotNull(), F.col(code)))
-        encoded[column] = F.coalesce(found, F.lit(UNKNOWN)).alias(column + ENCODED_SUFFIX)
-    return result.select(*others, *[encoded[c] for c in columns])
+            found[column] = F.coalesce(F.col(hot_code), F.when(text.isNotNull(), F.col(code)))
+    encoded = [F.coalesce(found[c], F.lit(UNKNOWN)).alias(c + ENCODED_SUFFIX) for c in columns]
+    return result.select(*others, *encoded)
 
 
 def write_codes(codes: DataFrame, path: str) -> None:
