@@ -23,6 +23,14 @@ from visitrisk.scratch import application_folder
 from visitrisk.sources import readers, writers
 from visitrisk.spec import VISIT_SPEC, FeatureSpec
 
+try:  # the training-text operators can be left out
+    import corpus_pipeline
+    import visitrisk.llm.queries as llm
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "visitrisk.llm", "visitrisk.llm.queries"):
+        raise
+    llm = None
+
 AS_OF = date(2024, 1, 31)
 FIRST_DAY = date(2024, 1, 1)
 SCORED_AT = datetime(2024, 1, 31, 3, 0, 0)
@@ -498,6 +506,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    training_text = {} if llm is None else {**llm.queries(), "pipeline": corpus_pipeline.run}
     return {
         "q01_boolean_to_int": boolean_to_int,
         "q02_categorical_missing": categorical_missing,
@@ -546,6 +555,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q45_expired_folders": expired_folders,
         "q46_daily_run": daily_run,
         "q47_ordinal_transform_broadcast": ordinal_transform_broadcast,
+        **training_text,
     }
 
 
@@ -561,6 +571,7 @@ def _sql_clean(spec: FeatureSpec) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    training_text = {} if llm is None else llm.oracle_sql()
     visits = VISITS_SQL.format(events="events")
     clean = _sql_clean(VISITS)
     share = "CAST('0x' || substr(md5('42:' || CAST(visit_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296e0"
@@ -702,4 +713,5 @@ CROSS JOIN (VALUES ('model-a', TIMESTAMP '2024-01-16 02:00:00'), ('model-b', TIM
 AS v(model_version, trained_at)""",
         "q47_ordinal_transform_broadcast": transformed,
         "q45_expired_folders": f"{head} {due('inference', 'expire', '2024-02-20', 30)}",
+        **training_text,
     }

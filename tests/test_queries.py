@@ -41,7 +41,12 @@ def normalised(names, rows):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def own(names):
+    """Without the queries of the training-text operators, which have tests of their own."""
+    return sorted(n for n in names if n.startswith("q"))
+
+
+@pytest.mark.parametrize("name", own(contract.oracle_sql()))
 def test_equals_sql(spark, duck, name):
     result = contract.queries()[name](spark, SF)
     expected = duck.sql(contract.oracle_sql()[name])
@@ -56,7 +61,7 @@ def test_equals_sql(spark, duck, name):
 
 
 def test_only_model_queries_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"q23_gbt_scores", "q46_daily_run"}
+    assert set(own(contract.queries())) - set(contract.oracle_sql()) == {"q23_gbt_scores", "q46_daily_run"}
 
 
 def test_entry_is_yesterday(spark):
