@@ -7,6 +7,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 from visitrisk.scratch import application_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-BLOCK_BYTES = 4 << 20
+#: Bytes of text that a task works on at a time; arrays of eight times that size live next to them.
+BLOCK_BYTES = 1 << 20
 
 _WHERE = np.arange(256)
 LOWER = np.where((_WHERE >= 65) & (_WHERE <= 90), _WHERE + 32, _WHERE).astype(np.uint8)
@@ -84,6 +86,16 @@ def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[np.
         row = last
 
 
+def slices(batch: pa.RecordBatch, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of ``batch`` with up to ``limit`` bytes of ``text``, or one row."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    ends, row = np.cumsum(sizes), 0
+    while row < batch.num_rows:
+        last = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + limit, "right")))
+        yield batch.slice(row, last - row)
+        row = last
+
+
 class Powers:
     """Powers of an odd number and of its inverse modulo 2**64, as far as they were needed."""
 
