@@ -103,7 +103,7 @@ class Powers:
         self.base, self.inverse, self.size = base, pow(base, -1, 1 << 64), 0
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.size:
+        if n > self.size or not self.size:
             self.size = max(n, 1 << 16)
             factors = np.empty((2, self.size), np.uint64)
             factors[:, 0], factors[0, 1:], factors[1, 1:] = 1, self.base, self.inverse

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitrisk.llm import chat, decontam, langid, linededup, packing, quality, simhash, toxicity, urlfilter, warc
+from visitrisk.llm import chat, decontam, langid, linededup, oracles, packing, quality, simhash, toxicity, urlfilter, warc
 from visitrisk.scratch import application_folder
 
 #: Host, path and verdict of the registered URL filter.
@@ -93,4 +93,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_decontamination": oracles.decontamination(),
+        "op6_line_dedup": oracles.line_dedup(linededup.MIN_WORDS),
+        "op7_url_filter": oracles.url_filter(RULES),
+        "op9_warc": oracles.warc(),
+        "op10_chat": oracles.chat(ADDED_ID, ADDED_TEXT),
+    }
