@@ -59,14 +59,14 @@ def test_against_brute_force(spark, fit, other):
     codes = enc.fit_codes(spark.createDataFrame(fit, schema), ["a", "b"])
     expected = expected_codes(fit, ["a", "b"])
     assert codes_of(codes) == expected
-    encoded = enc.encode(spark.createDataFrame(other, schema), codes, ["a", "b"])
+    encoded = enc.encode(spark.createDataFrame(other, schema), codes, ["a", "b"], unfitted=["a", "b"])
     assert sorted(tuple(r) for r in encoded.collect()) == sorted(
         (expected.get(("a", a), -1), expected.get(("b", b), -1)) for a, b in other
     )
 
 
 def test_every_lookup_gives_the_same_on_skewed_values(spark, monkeypatch):
-    monkeypatch.setattr(enc, "COMMON_SHARE", 10)
+    monkeypatch.setattr(enc, "COMMON_VALUES", 2)
     rows = [(i, "hot" if i % 3 == 0 else f"v{i % 500}", "new" if i % 2 else f"w{i % 90}") for i in range(6000)]
     frame = spark.createDataFrame(rows, "id int, a string, b string").repartition(8)
     codes = enc.fit_codes(frame.filter("b != 'new' AND id < 4000"), ["a", "b"])
@@ -80,7 +80,7 @@ def test_every_lookup_gives_the_same_on_skewed_values(spark, monkeypatch):
 def test_common_values_are_few_and_spread(spark, settings, monkeypatch):
     """Rows of a hot value do not meet in one partition, though the value is unknown."""
     settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
-    monkeypatch.setattr(enc, "COMMON_SHARE", 10)
+    monkeypatch.setattr(enc, "COMMON_VALUES", 2)
     frame = spark.range(0, 8000, numPartitions=32).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id"))).alias("a")
     )
@@ -104,7 +104,11 @@ def test_budget_counts_all_features(spark):
 def test_lookups_follow_the_measured_sizes(spark, plan_of):
     rows = spark.createDataFrame([("x", "y" * 100, "z" * 1000, "u")], "a string, b string, c string, unseen string")
     codes = enc.fit_codes(rows, ["a", "b", "c"])
-    encoded = enc.encode(rows, codes, ["a", "b", "c", "unseen"], broadcast_bytes=300, inline_bytes=100)
+    encoded = enc.encode(
+        rows, codes, ["a", "b", "c", "unseen"], broadcast_bytes=300, inline_bytes=100, unfitted=["unseen"]
+    )
+    with pytest.raises(ValueError, match="unseen"):
+        enc.encode(rows, codes, ["a", "unseen"])
     plan = encoded._jdf.queryExecution().optimizedPlan().toString()
     assert "__index_0" in plan and "__index_1" not in plan
     assert "__value_0" in plan and "__key_0" not in plan and "__key_1" in plan
@@ -129,3 +133,28 @@ def test_duplicate_rows_stay(spark, limits):
     rows = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)] * 3, "c string, n int")
     encoded = enc.encode(rows, enc.fit_codes(rows, ["c"]), ["c"], *limits)
     assert encoded.groupBy("n").count().orderBy("n").collect() == [(1, 50), (2, 3)]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_shuffled_codes_equal_inline_codes(spark, settings, plan_of, adaptive):
+    """The far side is really shuffled, with a hot fitted value, a hot unknown one, a long one and NULLs."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled=adaptive)
+    hot = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.repeat(F.lit("x"), 9000))
+    frame = spark.range(0, 6000, numPartitions=8).select(
+        "id",
+        hot.when(F.col("id") % 11 == 0, None).otherwise(F.concat(F.lit("v"), F.col("id") % 700)).alias("a"),
+        (F.col("id") % 4).alias("b"),
+    )
+    codes = enc.fit_codes(frame.filter("a NOT LIKE 'x%' AND id < 5000"), ["a", "b"])
+    inline = enc.encode(frame, codes, ["a", "b"])
+    shuffled = enc.encode(frame, codes, ["a", "b"], 0, 0)
+    assert plan_of(shuffled).count("SortMergeJoin") >= 2
+    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, inline.collect()))
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_categories_of_any_type_are_text(spark, limits):
+    rows = spark.sql("SELECT id, id % 2 = 0 AS flag, date_add(DATE '2024-01-01', CAST(id % 3 AS INT)) AS day FROM range(30)")
+    codes = enc.fit_codes(rows, ["flag", "day"])
+    found = enc.encode(rows, codes, ["flag", "day"], *limits)
+    assert {tuple(r) for r in found.collect()} == {(i, 1 - i % 2, i % 3) for i in range(30)}

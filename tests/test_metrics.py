@@ -30,6 +30,10 @@ def test_constant_label(spark, pairs, r2):
 
 def test_pairs_without_label_do_not_count(spark):
     assert measured(spark, [(1.0, 2.0), (3.0, 3.0), (None, 9.0), (4.0, None)])["mae"] == 0.5
+    row = measured(spark, [(1.0, 1.0), (2.0, None)])
+    assert (row["n"], row["skipped"], row["rmse"]) == (1, 1, 0)
+    row = measured(spark, [(2.0, None)])
+    assert (row["n"], row["skipped"], row["rmse"]) == (0, 1, None)
 
 
 def test_counts(spark):

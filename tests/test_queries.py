@@ -60,8 +60,14 @@ def test_equals_sql(spark, duck, name):
         assert bad not in plan
 
 
-def test_only_model_queries_lack_sql():
-    assert set(own(contract.queries())) - set(contract.oracle_sql()) == {"q23_gbt_scores", "q46_daily_run"}
+def test_every_query_has_sql():
+    assert own(contract.queries()) == own(contract.oracle_sql())
+
+
+def test_shuffled_lookup_is_shuffled(spark):
+    result = contract.queries()["q29_ordinal_transform_shuffled"](spark, SF)
+    result.collect()
+    assert result._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") >= 3
 
 
 def test_entry_is_yesterday(spark):

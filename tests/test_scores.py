@@ -80,11 +80,31 @@ def hot_ids(spark, third_id=5):
     )
 
 
-def test_hot_id_is_split_in_the_pairing(spark, small_skew, plan_of):
+def test_pairing_shuffles_each_side_once(spark, settings, plan_of):
+    """Both sides are single after their aggregation, so no hot id is left for the join."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     scored = spark.range(60000).selectExpr("id AS visit_id", "id * 1.0D AS prediction")
-    paired = sc.pair_scores(hot_ids(spark), scored.union(scored), "visit_id")
-    assert "skew=true" in plan_of(paired)
-    assert paired.count() == 60000
+    paired = sc.pair_scores(hot_ids(spark).select("visit_id"), scored.union(scored), "visit_id")
+    assert plan_of(paired).count("Exchange hashpartitioning") == 2
+    assert paired.count() == 40000
+
+
+def test_pairing_counts(spark):
+    ids = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (5,)], "visit_id int")
+    values = [(1, 1.0), (1, float("nan")), (2, 2.0), (2, 3.0), (4, 4.0), (None, 1.0), (5, None)]
+    predictions = spark.createDataFrame(values, "visit_id int, prediction double")
+    paired = map(tuple, sc.pair_scores(ids, predictions, "visit_id").collect())
+    assert sorted(paired) == [(1, 1.0), (2, 3.0), (5, None)]
+    counts = sc.pairing_counts(ids, predictions, "visit_id").first().asDict()
+    assert counts == {
+        "ids": 4,
+        "repeated": 1,
+        "null_ids": 2,
+        "without_prediction": 1,
+        "without_id": 1,
+        "conflicting": 1,
+    }
+    assert set(sc.pairing_counts(ids.limit(0), predictions.limit(0), "visit_id").first()) == {0}
 
 
 @pytest.mark.parametrize("hot", [5, None])
@@ -97,12 +117,28 @@ def test_hot_id_is_split_in_the_join_back(spark, small_skew, plan_of, hot):
     assert joined.count() == 60000
 
 
-def test_hot_id_is_split_in_the_append(spark, small_skew, plan_of):
+def test_append_fills_nulls_and_keeps_numbers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sc.create_score_table(spark, SPEC, path)
+    batches = (
+        [(1, None), (2, 2.0), (2, 1.0), (None, 9.0)],
+        [(1, 4.0), (2, 8.0), (3, float("nan"))],
+        [(3, 3.0), (1, None)],
+    )
+    for batch in batches:
+        sc.append_scores(rows(spark, batch), sc.read_score_table(spark, SPEC, path), SPEC, path)
+    stored = sc.read_score_table(spark, SPEC, path).orderBy("VISIT_ID").collect()
+    assert [(r["VISIT_ID"], r["PREDICTED_FRAUD_SCORE"]) for r in stored] == [("1", 4.0), ("2", 2.0), ("3", 3.0)]
+
+
+def test_merge_reduces_hot_ids_before_its_one_shuffle(spark, settings, plan_of):
+    settings(spark__sql__adaptive__enabled="false")
     stored = sc.score_rows(hot_ids(spark).withColumn("prediction", F.lit(1.0)), SPEC, AS_OF, "v1", scored_at=AT)
-    batch = sc.score_rows(hot_ids(spark, 6).withColumn("prediction", F.rand(1)), SPEC, AS_OF, "v1", scored_at=AT)
-    new = sc.not_yet_stored(batch, stored.filter("VISIT_ID != '6' AND CAST(VISIT_ID AS INT) % 2 = 1"), SPEC)
-    assert "skew=true" in plan_of(new)
-    assert new.count() == batch.filter("VISIT_ID = '6' OR CAST(VISIT_ID AS INT) % 2 = 0").count()
+    batch = sc.score_rows(hot_ids(spark, 6).withColumn("prediction", F.lit(2.0)), SPEC, AS_OF, "v1", scored_at=AT)
+    merged = sc.merged(batch, stored, SPEC)
+    assert plan_of(merged).count("Exchange hashpartitioning") == 1
+    # Ids without a third divisor, the hot one of either side among or beside them.
+    assert merged.count() == 40001 and merged.filter("PREDICTED_FRAUD_SCORE = 2").count() == 1
 
 
 def test_join_back_does_not_multiply_visits(spark):
@@ -133,9 +169,9 @@ def test_day_report_reads_one_partition(spark, tmp_path, plan_of):
     assert "PartitionFilters: [isnotnull(SCORE_DATE" in plan
 
 
-def test_append_reads_only_the_day_it_adds(spark, tmp_path, plan_of):
+def test_append_leaves_other_partitions_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     sc.replace_scores(rows(spark, [(1, 1.0)]), SPEC, path)
-    stored = sc.read_score_table(spark, SPEC, path)
-    plan = plan_of(sc.not_yet_stored(rows(spark, [(1, 1.0), (2, 1.0)]), stored, SPEC))
-    assert "(SCORE_DATE" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    other = next((tmp_path / "t" / "SCORE_DATE=2024-01-30" / "MODEL_VERSION=v1").glob("*.parquet"))
+    sc.append_scores(rows(spark, [(1, 2.0)], "v2"), sc.read_score_table(spark, SPEC, path), SPEC, path)
+    assert other.exists() and sc.read_score_table(spark, SPEC, path).count() == 2

@@ -24,7 +24,7 @@ def content(df):
 
 def test_feature_csv_keeps_every_text(spark, cleaned, tmp_path):
     writers.write_feature_csv(cleaned, SPEC, str(tmp_path / "f"))
-    back = readers.read_feature_csv(spark, str(tmp_path / "f"), SPEC)
+    back = readers.read_feature_csv(spark, str(tmp_path / "f"), SPEC, multi_line=True)
     assert back.dtypes == [("b", "int"), ("c", "string"), ("d", "string"), ("n", "double")]
     assert content(back) == content(cleaned.drop("id"))
 
@@ -92,6 +92,39 @@ def test_folder_of_csv_keeps_text(spark, tmp_path):
     assert content(typed) == [("17.10", 1.0), ("NA", 2.0)]
 
 
+def test_folder_joins_files_by_column_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("c,n\nx,1\n")
+    (tmp_path / "b.csv").write_text("n,c\n2,y\n")
+    (tmp_path / "c.csv").write_text('n,"odd, name"\n3,z\n')
+    found = readers.read_folder(spark, str(tmp_path))
+    rows = sorted((r["n"], r["c"], r["odd, name"]) for r in found.collect())
+    assert rows == [("1", "x", None), ("2", "y", None), ("3", None, "z")]
+    typed = readers.read_folder(spark, str(tmp_path), "n int, c string, more double").collect()
+    assert sorted((r["n"], r["c"], r["more"]) for r in typed if r["c"]) == [(1, "x", None), (2, "y", None)]
+
+
+def test_ids_by_name_wherever_the_column_stands(spark, tmp_path):
+    (tmp_path / "ids.csv").write_text("created,id\n2024,7\n2023,8\n")
+    assert content(readers.read_ids_csv(spark, str(tmp_path), "id", "int")) == [(7,), (8,)]
+    with pytest.raises(ValueError, match="visit"):
+        readers.read_ids_csv(spark, str(tmp_path), "visit")
+
+
+def test_damaged_records_fail_or_are_kept_apart(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("1,x,y,1.5\n1,x,y,abc\n1,x,y,2.5,surplus\n1,x\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_feature_csv(spark, str(tmp_path), SPEC).collect()
+    kept = readers.read_feature_csv(spark, str(tmp_path), SPEC, keep_damaged=True)
+    assert tuple(readers.damage(kept).first()) == (4, 3)
+    assert content(readers.sound(kept)) == [(1, "x", "y", 1.5)]
+
+
+def test_feature_csv_with_id(spark, tmp_path):
+    rows = spark.createDataFrame([(7, 1, "a", "b", 2.0)], "id long, b int, c string, d string, n double")
+    writers.write_feature_csv(rows, SPEC, str(tmp_path / "k"), with_id=True)
+    assert content(readers.read_feature_csv(spark, str(tmp_path / "k"), SPEC, T.LongType())) == [(7, 1, "a", "b", 2.0)]
+
+
 def test_folder_without_data_is_an_error(spark, tmp_path):
     (tmp_path / "note.txt").write_text("x")
     with pytest.raises(ValueError, match="no parquet or CSV"):

@@ -24,12 +24,10 @@ INLINE_BYTES = 4 << 20
 BROADCAST_BYTES = 128 << 20
 ROW_OVERHEAD_BYTES = 64
 
-# A value is common when it fills at least 1/COMMON_SHARE of the rows: never more than
-# COMMON_SHARE values per feature, each no longer than COMMON_VALUE_BYTES.
-COMMON_SHARE = 1000
-COMMON_VALUE_BYTES = 4096
-
-SPREAD = 4096
+# So many of the most frequent values of a feature, by a sketch, count as common. Values are sketched by
+# their hash, so their length plays no part.
+COMMON_VALUES = 1000
+SKETCHED = 10_000
 
 
 def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -40,11 +38,13 @@ def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Codes of the values of ``columns`` in ``df``, in code-point order of the text.
 
-    One scan and one shuffle find the distinct values of all columns; a value that fills much of the
-    data is reduced before the shuffle. The numbering is spread as well: values are range-partitioned
+    One scan reduces all columns to distinct values before the first shuffle, a second one sorts them by
+    range (its bounds are sampled from the first one's result). The numbering is spread as well: values are range-partitioned
     by (feature, value), numbered inside each partition, and shifted by the count of the same
     feature's values in the partitions before. So no feature needs to fit into one task.
     """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "feature string, value string, code int")
     # Range bounds come from a sample, so the partitions are fixed before they are counted.
     ranges = checkpointed(
         _pairs(df, columns)
@@ -115,23 +115,17 @@ def _index_inline(df: DataFrame, labels: dict[str, list[str]]) -> tuple[DataFram
     return indexer.transform(df), found
 
 
-def _common_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Codes (or -1) of the values that fill much of ``df`` itself, whether fitted or not."""
-    rows = df.count()
-    common = checkpointed(
-        _pairs(df, columns)
-        .filter(F.octet_length("value") <= COMMON_VALUE_BYTES)
-        .groupBy("feature", "value")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") * COMMON_SHARE >= rows)
-        .select("feature", "value")
-    )
-    known = codes.join(F.broadcast(common), ["feature", "value"])
-    return checkpointed(
-        common.join(F.broadcast(known), ["feature", "value"], "left").select(
-            "feature", "value", F.coalesce("code", F.lit(UNKNOWN)).alias("code")
-        )
-    )
+def _hot(df: DataFrame, columns: Sequence[str]) -> dict[str, list[int]]:
+    """Hashes of the most frequent values of each column: one pass, at most ``COMMON_VALUES`` a column.
+
+    Which values are taken changes no result, only where their rows go.
+    """
+    tops = [
+        F.expr(f"approx_top_k(xxhash64(CAST(`{c}` AS STRING)), {COMMON_VALUES}, {SKETCHED})").alias(f"t{i}")
+        for i, c in enumerate(columns)
+    ]
+    found = df.agg(*tops).first()
+    return {c: [x["item"] for x in found[f"t{i}"] or [] if x["item"] is not None] for i, c in enumerate(columns)}
 
 
 def _lookup(codes: DataFrame, feature: str, value: str, code: str) -> DataFrame:
@@ -140,9 +134,9 @@ def _lookup(codes: DataFrame, feature: str, value: str, code: str) -> DataFrame:
     )
 
 
-def _spread() -> Column:
-    # Depends on the task and nothing else, so a rerun of the task sends its rows the same way.
-    return F.concat(F.lit("\0"), F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(SPREAD)))
+def _spread(df: DataFrame, salts: int) -> Column:
+    """A key for rows that need no partner, one of ``salts``: the same whenever a task runs again."""
+    return F.concat(F.lit("\0"), F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts)))
 
 
 def encode(
@@ -151,50 +145,58 @@ def encode(
     columns: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     inline_bytes: int = INLINE_BYTES,
+    unfitted: Sequence[str] = (),
 ) -> DataFrame:
     """Replace each of ``columns`` by ``<column>_ENCODED``; every row stays, once.
 
-    The size of each feature's codes is measured. The smallest are looked up by an indexer inside one
-    projection, larger ones by a broadcast join, and those beyond the limits by a shuffled join. Before
-    the latter, the common values of a column (they may be a third of all rows) are taken out by a
-    broadcast of at most ``COMMON_SHARE`` rows, and their rows are spread over the partitions. Small
-    features come first, so the shuffled rows already hold their codes instead of their text.
+    Values are compared as text on every way. The size of each feature's codes is measured. The smallest
+    are looked up by an indexer inside one projection, larger ones by a broadcast join, and those beyond
+    the limits by a shuffled join. Before the latter, the common values of a column (they may be a third
+    of all rows) are taken out by a broadcast of at most ``COMMON_VALUES`` codes, and their rows are
+    spread over the partitions. Small features come first, so the shuffled rows already hold their codes
+    instead of their text.
+
+    A column of which ``codes`` has no value at all is an error, as codes of another table or half-written
+    ones would give -1 everywhere; ``unfitted`` names the columns that may lack codes.
     """
     sizes = _sizes(codes)
+    missing = [c for c in columns if c not in sizes and c not in unfitted]
+    if missing:
+        raise ValueError(f"there are no codes of {missing}")
     fitted = [c for c in columns if c in sizes]
     small = _within(sizes, fitted, broadcast_bytes)
     large = [c for c in fitted if c not in small]
     labels = _labels(codes, _within(sizes, small, inline_bytes))
-    common = _common_codes(df, codes, large) if large else None
+    hot = _hot(df, large) if large else {}
+    # Several keys for each partition the rows may be spread over.
+    salts = 4 * max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 64)
 
     others = [c for c in df.columns if c not in columns]
-    result, found = df, dict.fromkeys(columns, F.lit(None).cast("int"))
+    texts = {c: F.col(c).cast("string").alias(c) for c in columns}
+    result = df.select(*[texts.get(c, F.col(f"`{c}`")) for c in df.columns])
+    found = dict.fromkeys(columns, F.lit(None).cast("int"))
     if labels:
         result, indexed = _index_inline(result, labels)
         found.update(indexed)
     for i, column in enumerate([c for c in small if c not in labels] + large):
-        text = F.col(column).cast("string")
         value, code = f"__value_{i}", f"__code_{i}"
+        lookup = _lookup(codes, column, value, code)
         if column in small:
-            result = result.join(
-                F.broadcast(_lookup(codes, column, value, code)), text == F.col(value), "left"
-            ).drop(value)
+            result = result.join(F.broadcast(lookup), F.col(column) == F.col(value), "left").drop(value)
             found[column] = F.col(code)
         else:
+            hashes = [F.lit(h) for h in hot[column]]
             hot_value, hot_code, key = f"__common_value_{i}", f"__common_code_{i}", f"__key_{i}"
-            rare = F.col(hot_code).isNull() & text.isNotNull()
+            common = _lookup(codes, column, hot_value, hot_code).filter(F.xxhash64(hot_value).isin(hashes))
+            rare = F.col(column).isNotNull() & ~F.xxhash64(column).isin(hashes)
             result = (
-                result.join(
-                    F.broadcast(_lookup(common, column, hot_value, hot_code)),
-                    text == F.col(hot_value),
-                    "left",
-                )
+                result.withColumn(key, F.when(rare, F.col(column)).otherwise(_spread(result.select(*others), salts)))
+                .join(F.broadcast(common), F.col(column) == F.col(hot_value), "left")
                 .drop(hot_value)
-                .withColumn(key, F.when(rare, text).otherwise(_spread()))
-                .join(_lookup(codes, column, value, code), F.col(key) == F.col(value), "left")
+                .join(lookup.hint("merge"), F.col(key) == F.col(value), "left")
                 .drop(key, value)
             )
-            found[column] = F.coalesce(F.col(hot_code), F.when(text.isNotNull(), F.col(code)))
+            found[column] = F.coalesce(F.col(hot_code), F.when(F.col(column).isNotNull(), F.col(code)))
     encoded = [F.coalesce(found[c], F.lit(UNKNOWN)).alias(c + ENCODED_SUFFIX) for c in columns]
     return result.select(*others, *encoded)
 

@@ -22,20 +22,19 @@ def split_counts(extract: DataFrame) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: str) -> DataFrame:
-    """RMSE, MAE and R² for each value of ``by``.
+    """RMSE, MAE and R² for each value of ``by``, the ``n`` rows they rest on, and the ``skipped`` rows.
 
-    R² of a constant label is 1 for a perfect prediction and 0 otherwise; of fewer than two rows, NaN.
+    Skipped are rows whose label or prediction is NULL; a group of nothing else has NULL errors. R² of
+    a constant label is 1 for a perfect prediction and 0 otherwise; of fewer than two rows, NaN.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    grouped = (
-        df.filter(y.isNotNull() & p.isNotNull())
-        .groupBy(by)
-        .agg(
-            F.count("*").alias("n"),
-            F.avg((y - p) * (y - p)).alias("mse"),
-            F.avg(F.abs(y - p)).alias("mae"),
-            F.var_pop(y).alias("variance"),
-        )
+    known = y.isNotNull() & p.isNotNull()
+    grouped = df.groupBy(by).agg(
+        F.count_if(known).alias("n"),
+        F.count_if(~known).alias("skipped"),
+        F.avg((y - p) * (y - p)).alias("mse"),
+        F.avg(F.abs(y - p)).alias("mae"),
+        F.var_pop(F.when(known, y)).alias("variance"),
     )
     r2 = (
         F.when(F.col("n") < 2, F.lit(float("nan")))
@@ -43,4 +42,4 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: str) -> D
         .when(F.col("mse") == 0, 1.0)
         .otherwise(0.0)
     )
-    return grouped.select(by, F.sqrt("mse").alias("rmse"), "mae", r2.alias("r2"))
+    return grouped.select(by, F.sqrt("mse").alias("rmse"), "mae", r2.alias("r2"), "n", "skipped")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,10 @@ class BoostParams:
     patience: int = 50
     bins: int = 256
 
-    # First number of rounds tried; each further try has four times as many.
+    # First number of rounds tried; each further try has twice as many.
     first_try: int = 100
+    # About how many training rows take part, chosen by hash of their features; None: all.
+    max_rows: int | None = None
     # Every round visits all partitions several times: on a large dataset, two or three per core are
     # enough. None keeps those of the scan.
     partitions: int | None = None
@@ -95,8 +98,8 @@ def _boost(train: DataFrame, validation: DataFrame, params: BoostParams) -> tupl
     """Boost until the validation error has been idle for ``patience`` rounds, keep the best prefix.
 
     Tree m of a fit depends on the trees before it and on seed + m only, so a fit with fewer rounds is
-    the prefix of a longer one. The number of rounds therefore grows by tries, and a long run that
-    stops improving never pays for all its rounds.
+    the prefix of a longer one. The number of rounds therefore doubles by tries, and the last try has
+    fewer than twice the rounds that the rule needed. The kept prefix is cut from its trees.
     """
     rounds = min(params.first_try, params.rounds)
     while True:
@@ -105,10 +108,22 @@ def _boost(train: DataFrame, validation: DataFrame, params: BoostParams) -> tupl
         keep, stopped = rounds_to_keep(errors, params.patience)
         if stopped or rounds == params.rounds:
             break
-        rounds = min(rounds * 4, params.rounds)
-    if keep < rounds:
-        model = _regressor(params, keep).fit(train)
-    return model, errors
+        rounds = min(rounds * 2, params.rounds)
+    return _first_trees(model, keep), errors
+
+
+def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` rounds."""
+    whole, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    if n == model.getNumTrees:
+        return model
+    ml = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(ml.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i, tree in enumerate(itertools.islice(whole.trees(), n)):
+        trees[i], weights[i] = tree, model.treeWeights[i]
+    prefix = GBTRegressionModel(ml.GBTRegressionModel(whole.uid(), trees, weights, model.numFeatures))
+    return prefix.setFeaturesCol(FEATURES).setPredictionCol(PREDICTION)
 
 
 def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostParams()) -> Trained:
@@ -120,6 +135,11 @@ def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostPa
     shared_folder(matrix.sparkSession)  # the booster checkpoints its running errors there
     assemble = assembler(names)
     rows = assemble.transform(matrix).select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), SPLIT)
+    if params.max_rows is not None:
+        share = params.max_rows / max(1, rows.filter(F.col(SPLIT) == TRAIN).count())
+        draw = F.pmod(F.xxhash64(*matrix.columns), F.lit(1_000_000))
+        rows = assemble.transform(matrix.withColumn("__draw", draw)).filter((F.col(SPLIT) != TRAIN) | (F.col("__draw") < share * 1_000_000))
+        rows = rows.select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), SPLIT)
     if params.partitions is not None:
         rows = rows.coalesce(params.partitions)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -130,7 +150,7 @@ def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostPa
         dataset = F.when(F.col(SPLIT) == TRAIN, TRAIN).otherwise(VALIDATION).alias("dataset")
         predicted = model.transform(rows).select(dataset, LABEL, PREDICTION)
         # Two rows, computed before the training rows are released.
-        measured = regression_metrics(predicted, LABEL, PREDICTION, by="dataset")
+        measured = regression_metrics(predicted, LABEL, PREDICTION, by="dataset").drop("n", "skipped")
         metrics = matrix.sparkSession.createDataFrame(measured.collect(), measured.schema)
     finally:
         rows.unpersist()

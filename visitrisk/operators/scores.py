@@ -34,19 +34,46 @@ def score_table_schema(spec: FeatureSpec) -> T.StructType:
     )
 
 
+def _single(ids: DataFrame, predictions: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Each id once with how often it came; each predicted id once with its least and greatest value."""
+    value = next(c for c in predictions.columns if c != key)
+    number = F.col(value)
+    if dict(predictions.dtypes)[value] in ("double", "float"):
+        number = F.when(~F.isnan(value), F.col(value))
+    every = ids.groupBy(key).agg(F.count("*").alias("times"))
+    single = predictions.groupBy(F.col(key).alias("__key")).agg(F.max(number).alias(value), F.min(number).alias("__least"))
+    return every, single
+
+
 def pair_scores(ids: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    """Each id that has a prediction, with it.
+    """Each id that has a prediction, once, with it.
 
     Pairs by key, never by position: row numbers differ between two files as soon as their partitions
-    do. ``predictions`` may repeat an id (a file delivered twice); its greatest value counts, so an id
-    row is matched once. Repeats are reduced before the shuffle.
+    do. Both sides may repeat an id (a file delivered twice); of its values the greatest number counts,
+    NaN never. NULL ids pair with nothing. Both sides are reduced before their only shuffle, and the
+    join uses the partitioning of that. What does not pair is counted by :func:`pairing_counts`.
     """
+    every, single = _single(ids, predictions, key)
+    paired = every.filter(F.col(key).isNotNull()).join(single, F.col(key) == F.col("__key"))
+    return paired.select(key, next(c for c in predictions.columns if c != key))
+
+
+def pairing_counts(ids: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """One row: distinct ids, rows repeating one, rows with a NULL id on either side, ids without a prediction,
+    predicted ids that are not among the ids, and ids with several different values."""
     value = next(c for c in predictions.columns if c != key)
-    single = predictions.groupBy(key).agg(F.max(value).alias(value))
-    # With the hash as a second key the join has an exchange of its own on either side, which
-    # adaptive execution can split where the ids repeat one value.
-    hashed = F.xxhash64(key).alias("__hash")
-    return ids.select("*", hashed).join(single.select("*", hashed), [key, "__hash"]).drop("__hash")
+    every, single = _single(ids, predictions, key)
+    both = every.join(single.withColumn("__given", F.lit(True)), F.col(key) == F.col("__key"), "full")
+    given, asked = F.col("__given").isNotNull(), F.col("times").isNotNull()
+    null_id, null_key = asked & F.col(key).isNull(), given & F.col("__key").isNull()
+    return both.agg(
+        F.count_if(asked & ~null_id).alias("ids"),
+        F.coalesce(F.sum(F.when(~null_id, F.col("times") - 1)), F.lit(0)).alias("repeated"),
+        (F.coalesce(F.sum(F.when(null_id, F.col("times"))), F.lit(0)) + F.count_if(null_key)).alias("null_ids"),
+        F.count_if(asked & ~given & ~null_id).alias("without_prediction"),
+        F.count_if(given & ~asked & ~null_key).alias("without_id"),
+        F.count_if(given & (F.col("__least") < F.col(value))).alias("conflicting"),
+    )
 
 
 def _moment(at: datetime | None) -> Column:
@@ -78,10 +105,20 @@ def rejected_scores(predictions: DataFrame, prediction: str) -> DataFrame:
     return predictions.agg(F.count("*").alias("read"), F.count_if(bad).alias("rejected"))
 
 
-def not_yet_stored(batch: DataFrame, stored: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Rows of ``batch`` whose id, date and model version the table does not hold yet."""
+def merged(batch: DataFrame, stored: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The table's rows after adding ``batch``: one per id, date and model version.
+
+    A stored number stays; a stored NULL or NaN gives way to the batch's number. Of several rows of a
+    batch the one with the greatest number counts. Rows without an id are left out. All is reduced
+    before the one shuffle.
+    """
     key = [spec.id.upper(), SCORE_DATE, MODEL_VERSION]
-    return batch.join(stored.select(*key), key, "left_anti").select(*batch.columns)
+    rest = [SCORE, SCORED_AT, CREATED_AT]
+    none = F.col(SCORE).isNull() | F.isnan(SCORE)
+    rank = F.struct(none.alias("none"), F.col("__new"), (-F.col(SCORE)).alias("order"), *[F.col(c) for c in rest])
+    both = stored.withColumn("__new", F.lit(False)).unionByName(batch.withColumn("__new", F.lit(True)))
+    single = both.filter(F.col(key[0]).isNotNull()).groupBy(*key).agg(F.min(rank).alias("first"))
+    return single.select(*key, *[F.col(f"first.{c}").alias(c) for c in rest]).select(*batch.columns)
 
 
 def read_score_table(spark: SparkSession, spec: FeatureSpec, path: str) -> DataFrame:
@@ -112,8 +149,14 @@ def replace_scores(rows: DataFrame, spec: FeatureSpec, path: str) -> None:
 
 
 def append_scores(rows: DataFrame, stored: DataFrame, spec: FeatureSpec, path: str) -> None:
-    """Add the rows that ``stored``, the present content of ``path``, lacks."""
-    _writer(not_yet_stored(rows, stored, spec), spec).mode("append").parquet(path)
+    """Add ``rows`` to ``stored``, the present content of ``path``: see :func:`merged`.
+
+    Only the days and versions of ``rows`` are read and replaced, each as a whole, so a load that
+    fails or runs twice leaves no row double. There are few of them: one of each per load.
+    """
+    touched = F.broadcast(rows.select(SCORE_DATE, MODEL_VERSION).distinct())
+    before = stored.join(touched, [SCORE_DATE, MODEL_VERSION], "left_semi").select(*rows.columns)
+    replace_scores(merged(rows, before, spec), spec, path)
 
 
 def latest_scores(scores: DataFrame, spec: FeatureSpec) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from datetime import date, datetime
+from datetime import date, datetime, time
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ from visitrisk.operators.model import (
     train,
     version_rows,
 )
+from visitrisk.sources.folders import remove
+from visitrisk.sources.layout import RUN_DATE, in_partition
 from visitrisk.sources.readers import read_training
 from visitrisk.sources.writers import write_training
 from visitrisk.spec import FeatureSpec
@@ -37,6 +39,7 @@ def extract_training_set(
     extract = training_extract(visits, spec, as_of, lookback_days)
     if extract.isEmpty():
         log.warning("no labelled visits in the %d days before %s", lookback_days, as_of)
+        remove(visits.sparkSession, in_partition(base, RUN_DATE, as_of))
         return None
     write_training(extract, base, as_of)
     # Counting the written files reads their footers only.
@@ -69,11 +72,14 @@ def run_training(
     params: BoostParams = BoostParams(),
     trained_at: datetime | None = None,
 ) -> Trained | None:
-    """Everything from visits to a registered model version; None when there is nothing to train on."""
+    """Everything from visits to a registered model version; None when there is nothing to train on.
+
+    ``trained_at`` is the start of ``as_of`` unless given: no step reads a clock.
+    """
     if extract_training_set(visits, spec, as_of, training) is None:
         return None
     cleaned = read_training(visits.sparkSession, training, as_of)
     trained = train_model(cleaned, spec, codes_path(models, version), params)
     save_model(trained.pipeline, models, version)
-    register_version(version_rows(trained.metrics, version, trained_at or datetime.now()), versions)
+    register_version(version_rows(trained.metrics, version, trained_at or datetime.combine(as_of, time())), versions)
     return trained

@@ -9,7 +9,8 @@ SCORE_DAY = "score_date"
 
 # Quotes are doubled inside quoted text and blanks are kept. The mark of NULL is a control character,
 # so no ordinary text is taken for NULL, empty text (written "") differs from it, and a NULL alone on
-# its line is not lost as a blank line. An unquoted empty field from elsewhere is NULL too.
+# its line is not lost as a blank line. An unquoted empty field from elsewhere is NULL too. Text that is
+# that character alone comes back as NULL.
 CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',

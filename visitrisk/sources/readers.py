@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitrisk.functions.split import SPLIT
@@ -20,14 +22,87 @@ def read_visits(spark: SparkSession, source: str, format: str | None = None, **o
     return reader.load(source) if source else reader.load()
 
 
-def _csv(spark: SparkSession, schema: T.StructType | str, header: bool, multi_line: bool):
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
-    return reader.option("header", header).option("multiLine", multi_line)
+# The whole line of a record that does not fit its schema, where such records are kept.
+DAMAGED = "__damaged"
+
+
+def _checked(reader, schema: T.StructType, keep_damaged: bool):
+    """A reader that fails on a record that does not fit ``schema``, or keeps its text in ``DAMAGED``.
+
+    Without either, text in a numeric column would become NULL and surplus fields would vanish unseen.
+    """
+    if not keep_damaged:
+        return reader.schema(schema).option("mode", "FAILFAST")
+    kept = T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())])
+    return reader.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", DAMAGED)
+
+
+def sound(rows: DataFrame) -> DataFrame:
+    """The records that fit their schema."""
+    return rows.filter(F.col(DAMAGED).isNull()).drop(DAMAGED)
+
+
+def damage(rows: DataFrame) -> DataFrame:
+    """How many records were read, and how many do not fit their schema."""
+    # A record is checked only in the columns that a query reads, so every column takes part in a
+    # condition that never holds.
+    never = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) > 1
+    return rows.agg(F.count("*").alias("read"), F.count_if(F.col(DAMAGED).isNotNull() | never).alias("rejected"))
+
+
+def _csv(spark: SparkSession, header: bool, multi_line: bool = False):
+    return spark.read.options(**CSV_OPTIONS).option("header", header).option("multiLine", multi_line)
+
+
+def _schema(*fields: tuple[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T._parse_datatype_string(k)) for n, k in fields])
+
+
+def _headers(spark: SparkSession, folder: str, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files below ``folder`` by their header.
+
+    One row per file is reduced in the tasks, from the first line alone; files are listed by any reader.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .text(folder)
+        .filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), "value")
+    )
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.groupBy("path").agg(F.min_by("value", "at").alias("head")).collect():
+        found.setdefault(tuple(next(csv.reader([row["head"]]))), []).append(row["path"])
+    return found
+
+
+def _csv_by_name(
+    spark: SparkSession, folder: str, schema: T.StructType | None, multi_line: bool, pattern: str
+) -> DataFrame | None:
+    """CSV files with headers, read by column name whatever order each file has; None without files.
+
+    A column that a file lacks is NULL there. Columns outside ``schema`` are left out.
+    """
+    rows = None
+    types = {} if schema is None else {f.name: f.dataType for f in schema}
+    for names, paths in sorted(_headers(spark, folder, pattern).items()):
+        own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        part = _checked(_csv(spark, True, multi_line), own, keep_damaged=False).csv(paths)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    if rows is None or schema is None:
+        return rows
+    lacking = [f for f in schema if f.name not in rows.columns]
+    if len(lacking) == len(schema):
+        raise ValueError(f"no file below {folder} has any of the columns {schema.names}")
+    return rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f in lacking else F.col(f"`{f.name}`") for f in schema])
 
 
 def read_ids_csv(spark: SparkSession, path: str, id_column: str, id_type: str = "string") -> DataFrame:
-    """Ids from CSV with a header."""
-    return _csv(spark, f"`{id_column}` {id_type}", header=True, multi_line=False).csv(path)
+    """Ids from CSV with a header: the column of that name, wherever it stands. Its absence is an error."""
+    rows = _csv_by_name(spark, path, _schema((id_column, id_type)), multi_line=False, pattern="*")
+    if rows is None:
+        raise ValueError(f"no file in {path}")
+    return rows
 
 
 def read_predictions_csv(
@@ -35,10 +110,11 @@ def read_predictions_csv(
 ) -> DataFrame:
     """Predictions from CSV without a header: one per line, after the id when ``id_column`` is given.
 
-    They stay text here; the score column is cast later, where rejects can be counted.
+    They stay text here; the score column is cast later, where rejects can be counted. A line with
+    another number of fields, or an id of another type, is an error. Ids hold no line breaks here.
     """
-    key = f"`{id_column}` {id_type}, " if id_column else ""
-    return _csv(spark, f"{key}`{prediction}` string", header=False, multi_line=False).csv(path)
+    fields = [(prediction, "string")] if id_column is None else [(id_column, id_type), (prediction, "string")]
+    return _checked(_csv(spark, header=False), _schema(*fields), keep_damaged=False).csv(path)
 
 
 def read_feature_csv(
@@ -46,14 +122,17 @@ def read_feature_csv(
     path: str,
     spec: FeatureSpec,
     id_type: T.DataType | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    keep_damaged: bool = False,
 ) -> DataFrame:
-    """Cleaned features from CSV without a header, named by position.
+    """Cleaned features from CSV without a header, named by position; the id first when ``id_type`` is given.
 
-    ``multi_line`` allows line breaks inside quoted text, one task per file. Data known to have none
-    can be read with it off, and large files are then split.
+    ``multi_line`` allows line breaks inside quoted text, one task per file; without it large files
+    are split. A record that does not fit is an error, or kept apart with ``keep_damaged``: see
+    :func:`sound` and :func:`damage`.
     """
-    return _csv(spark, spec.cleaned_schema(id_type), header=False, multi_line=multi_line).csv(path)
+    reader = _csv(spark, header=False, multi_line=multi_line)
+    return _checked(reader, spec.cleaned_schema(id_type), keep_damaged).csv(path)
 
 
 def read_feature_json(
@@ -62,38 +141,43 @@ def read_feature_json(
     spec: FeatureSpec,
     id_type: T.DataType | None = None,
     lines: bool = False,
+    keep_damaged: bool = False,
 ) -> DataFrame:
     """Features from JSON: each file an array of records or one record, or one record per line.
 
-    A feature that no record has is read as NULL.
+    A feature that no record has is read as NULL. An array cannot be split, so a file is one task
+    unless ``lines`` is on. Damaged records as in :func:`read_feature_csv`.
     """
-    return spark.read.schema(spec.cleaned_schema(id_type)).option("multiLine", not lines).json(path)
+    reader = spark.read.option("multiLine", not lines)
+    return _checked(reader, spec.cleaned_schema(id_type), keep_damaged).json(path)
 
 
-def _has_files(spark: SparkSession, folder: str, pattern: str) -> bool:
+def _has_parquet(spark: SparkSession, folder: str) -> bool:
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
+        .option("pathGlobFilter", "*.parquet")
         .load(folder)
     )
     return not listing.select("path").isEmpty()
 
 
-def read_folder(spark: SparkSession, folder: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_folder(
+    spark: SparkSession, folder: str, schema: T.StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
     """All files below ``folder``, each once: parquet if there is any, else CSV with a header.
 
-    Without a schema CSV columns are text.
+    Files are joined by column name: a column that a file lacks is NULL there, and the order of a
+    file's columns plays no part. Without a schema CSV columns are text.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    if _has_files(spark, folder, "*.parquet"):
-        return reader.option("pathGlobFilter", "*.parquet").parquet(folder)
-    if _has_files(spark, folder, "*.csv"):
-        csv = reader.options(**CSV_OPTIONS).option("header", True).option("multiLine", True)
-        return csv.option("pathGlobFilter", "*.csv").csv(folder)
-    raise ValueError(f"no parquet or CSV files below {folder}")
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if _has_parquet(spark, folder):
+        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        return (reader.option("mergeSchema", True) if fields is None else reader.schema(fields)).parquet(folder)
+    rows = _csv_by_name(spark, folder, fields, multi_line, "*.csv")
+    if rows is None:
+        raise ValueError(f"no parquet or CSV files below {folder}")
+    return rows
 
 
 def read_training(spark: SparkSession, base: str, run_day: date, side: str | None = None) -> DataFrame:

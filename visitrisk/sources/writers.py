@@ -27,18 +27,29 @@ def write_scoring(extract: DataFrame, base: str, day: date) -> None:
 CSV_ROWS_PER_FILE = 1_000_000
 
 
-def _csv(df: DataFrame, path: str, header: bool) -> None:
+def _csv(df: DataFrame, path: str, header: bool, rows_per_file: int = CSV_ROWS_PER_FILE) -> None:
     writer = df.write.mode("overwrite").options(**CSV_OPTIONS).option("header", header)
-    writer.option("maxRecordsPerFile", CSV_ROWS_PER_FILE).csv(path)
+    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def write_ids_csv(complete: DataFrame, spec: FeatureSpec, path: str) -> None:
     _csv(ids_only(complete, spec), path, header=True)
 
 
-def write_feature_csv(complete: DataFrame, spec: FeatureSpec, path: str) -> None:
-    """Features in model order, without a header."""
-    _csv(features_only(complete, spec), path, header=False)
+def write_feature_csv(
+    complete: DataFrame,
+    spec: FeatureSpec,
+    path: str,
+    with_id: bool = False,
+    rows_per_file: int = CSV_ROWS_PER_FILE,
+) -> None:
+    """Features in model order, without a header; the id before them with ``with_id``.
+
+    A scorer elsewhere needs the id in each record to return ``id,prediction``: records of two files
+    cannot be paired by position.
+    """
+    rows = complete.select(spec.id, *spec.raw_features) if with_id else features_only(complete, spec)
+    _csv(rows, path, header=False, rows_per_file=rows_per_file)
 
 
 def write_feature_json(complete: DataFrame, spec: FeatureSpec, path: str) -> None:
