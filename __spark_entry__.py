@@ -9,6 +9,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitrisk.functions import cleaning, days
 from visitrisk.functions.split import SPLIT, TEST, TRAIN
@@ -20,7 +21,8 @@ from visitrisk.operators import scores as sc
 from visitrisk.operators.matrix import feature_matrix
 from visitrisk.plans import load, score, train
 from visitrisk.scratch import application_folder
-from visitrisk.sources import readers, writers
+from visitrisk.sources import folders, readers, writers
+from visitrisk.sources.layout import CSV_OPTIONS
 from visitrisk.spec import VISIT_SPEC, FeatureSpec
 
 try:  # the training-text operators can be left out
@@ -262,52 +264,158 @@ def matrix(spark, sf_dir):
 
 # --- model --------------------------------------------------------------------------------------
 
-ROUNDS = boost.BoostParams(rounds=20, first_try=20)
+# All 1,400 rounds may be used; the patience rule ends the run.
+PATIENT = boost.BoostParams(patience=3, first_try=6)
+ONE_ROUND = boost.BoostParams(rounds=1, row_share=1.0, column_share=1.0)
+FLAGS = replace(VISITS, categorical=(), numeric=())
 
 
 def _learnable(spark, sf_dir):
-    """Visits whose target depends on their features, in a learnable way."""
-    target = F.lit(20.0) * F.coalesce(F.col("is_mobile").cast("int"), F.lit(0)) + F.coalesce(
-        F.col("visit_count") / 2, F.lit(0.0)
-    )
-    return _visits(spark, sf_dir).withColumn(VISITS.target, target)
+    """Visits whose target depends on two of their flags."""
+    mobile, proxy = (F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in ("is_mobile", "is_proxy"))
+    return _visits(spark, sf_dir).withColumn(VISITS.target, F.lit(20.0) * mobile + F.lit(5.0) * proxy)
+
+
+def _model_paths(spark, sf_dir, name):
+    base = _folder(spark, sf_dir, name)
+    return base, {"models": f"{base}/models", "versions": f"{base}/versions"}
+
+
+def _trained(spark, sf_dir, name, visits, spec, params):
+    """A training run; its model as loaded again; its training rows."""
+    base, paths = _model_paths(spark, sf_dir, name)
+    trained = train.run_training(visits, spec, AS_OF, "m", f"{base}/training", params=params, **paths)
+    pipeline, codes = boost.load_model(spark, paths["models"], "m")
+    return trained, pipeline, codes, readers.read_training(spark, f"{base}/training", AS_OF)
 
 
 def gbt_scores(spark, sf_dir):
+    """Facts of a scoring with all features: rows, ids, NULLs, and whether the model beats the mean on validation rows."""
     visits = _learnable(spark, sf_dir)
-    base = _folder(spark, sf_dir, "gbt")
-    train.extract_training_set(visits, VISITS, AS_OF, f"{base}/training")
-    cleaned = readers.read_training(spark, f"{base}/training", AS_OF)
-    trained = train.train_model(cleaned, VISITS, f"{base}/codes", ROUNDS)
-    codes = enc.read_codes(spark, f"{base}/codes")
-    return boost.score(ext.scoring_extract(visits, VISITS, AS_OF), VISITS, trained.pipeline, codes)
+    trained, pipeline, codes, rows = _trained(spark, sf_dir, "gbt", visits, VISITS, PATIENT)
+    scored = boost.score(ext.scoring_extract(visits, VISITS, AS_OF), VISITS, pipeline, codes)
+    spread = rows.filter(F.col(SPLIT) == TEST).agg(F.stddev_pop(VISITS.target)).first()[0]
+    rmse = next(r["rmse"] for r in trained.metrics.collect() if r["dataset"] == boost.VALIDATION)
+    return scored.agg(
+        F.count("*").alias("scored"),
+        F.count_distinct(VISITS.id).alias("ids"),
+        F.count_if(F.col("prediction").isNull()).alias("empty"),
+    ).withColumn("beats_mean", F.lit(bool(rmse < spread)))
+
+
+def flag_scores(spark, sf_dir):
+    """One unsampled round on the flags alone predicts the mean target of the training rows with the same flags."""
+    visits = _visits(spark, sf_dir)
+    _, pipeline, codes, _ = _trained(spark, sf_dir, "flags", visits, FLAGS, ONE_ROUND)
+    scored = boost.score(ext.scoring_extract(visits, FLAGS, AS_OF), FLAGS, pipeline, codes)
+    return scored.select(VISITS.id, F.round("prediction", 6).alias("prediction"))
+
+
+def flag_metrics(spark, sf_dir):
+    trained, *_ = _trained(spark, sf_dir, "flag_metrics", _visits(spark, sf_dir), FLAGS, ONE_ROUND)
+    return trained.metrics.select("dataset", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
+
+
+def early_stopping(spark, sf_dir):
+    """The flags explain the target, so no round after the first helps, and the patience rule ends the run."""
+    whole = replace(PATIENT, row_share=1.0, column_share=1.0)
+    trained, pipeline, _, rows = _trained(spark, sf_dir, "early", _learnable(spark, sf_dir), FLAGS, whole)
+    facts = {
+        "kept": pipeline.stages[1].getNumTrees,
+        "tried": len(trained.validation_errors),
+        "best_error": round(min(trained.validation_errors), 6),
+    }
+    return rows.agg(F.count("*").alias("records")).select("*", *[F.lit(v).alias(n) for n, v in facts.items()])
+
+
+def stored_order(spark, sf_dir):
+    """Columns in another order than the model's come back in the stored one; a sum weighted by place shows it."""
+    extract = _training(spark, sf_dir)
+    names = list(VISITS.model_features)[::-1]
+    shuffled = extract.select(*sorted(extract.columns))
+    rows = feature_matrix(shuffled, VISITS, _train_codes(extract), names=names)
+    weighted = sum((F.col(c) * (i + 1) for i, c in enumerate(rows.columns)), F.lit(0.0))
+    return rows.agg(F.round(F.sum(weighted.cast("decimal(30,6)")).cast("double"), 2).alias("total"), F.count("*").alias("records"))
 
 
 def daily_run(spark, sf_dir):
-    """Train, score and load as the three jobs do, then the daily report on the loaded table."""
+    """Train, score and load as the three jobs do; facts of the loaded table."""
     visits = _learnable(spark, sf_dir)
-    base = _folder(spark, sf_dir, "daily")
-    paths = {"models": f"{base}/models", "versions": f"{base}/versions"}
+    base, paths = _model_paths(spark, sf_dir, "daily")
     train.run_training(
-        visits, VISITS, AS_OF, "model-20240131", f"{base}/training", params=ROUNDS, trained_at=SCORED_AT, **paths
+        visits, VISITS, AS_OF, "model-20240131", f"{base}/training", params=PATIENT, trained_at=SCORED_AT, **paths
     )
     version = score.run_scoring(
         visits, VISITS, AS_OF, f"{base}/scoring", predictions=f"{base}/predictions", **paths
     )
     load.load_scores(spark, VISITS, AS_OF, version, f"{base}/predictions", f"{base}/scores", SCORED_AT)
-    report = reports.daily_average(sc.read_score_table(spark, VISITS, f"{base}/scores"))
-    return _day_as_text(report, "SCORE_DATE")
+    facts = sc.read_score_table(spark, VISITS, f"{base}/scores").groupBy("SCORE_DATE", "MODEL_VERSION").agg(
+        F.count("*").alias("scored"),
+        F.count_distinct("VISIT_ID").alias("ids"),
+        F.count_if(F.col("PREDICTED_FRAUD_SCORE").between(-1, 26)).alias("in_range"),
+    )
+    return _day_as_text(facts, "SCORE_DATE")
+
+
+def empty_day_run(spark, sf_dir):
+    """A day with visits, then found empty: the steps give 0 or None, and what the first run left is gone."""
+    visits = _learnable(spark, sf_dir)
+    base, paths = _model_paths(spark, sf_dir, "empty_day")
+    train.run_training(visits, FLAGS, AS_OF, "m", f"{base}/training", params=ONE_ROUND, **paths)
+    counts = []
+    for rows in (visits, visits.filter("created_at < TIMESTAMP_NTZ '2024-01-30 00:00:00'")):
+        version = score.run_scoring(
+            rows, FLAGS, AS_OF, f"{base}/scoring", predictions=f"{base}/predictions", **paths
+        )
+        counts.append(
+            load.load_scores(spark, FLAGS, AS_OF, version, f"{base}/predictions", f"{base}/scores", SCORED_AT)
+        )
+    left = [d for kind in ("scoring", "predictions", "scores") for d in folders.subfolders(spark, f"{base}/{kind}")]
+    facts = {"first": counts[0], "second": counts[1], "left": len(left)}
+    return visits.agg(F.count("*").alias("visits")).select("*", *[F.lit(v).alias(n) for n, v in facts.items()])
+
+
+def scored_files(spark, sf_dir):
+    """Features with their id as CSV, scored, returned as ``id,prediction``, loaded as scores made elsewhere."""
+    visits = _visits(spark, sf_dir)
+    base, paths = _model_paths(spark, sf_dir, "scored_files")
+    train.run_training(visits, FLAGS, AS_OF, "m", f"{base}/training", params=ONE_ROUND, **paths)
+    score.extract_scoring_set(visits, FLAGS, AS_OF, f"{base}/scoring", f"{base}/exports")
+    exported = f"{base}/exports/score_date=2024-01-30"
+    version = score.score_files(
+        spark, FLAGS, f"{exported}/keyed_features", predictions=f"{base}/returned", id_type=T.LongType(), **paths
+    )
+    load.load_external_scores(
+        spark, VISITS, AS_OF, version, f"{exported}/ids", f"{base}/returned", f"{base}/scores", SCORED_AT
+    )
+    number = F.round(F.col("PREDICTED_FRAUD_SCORE").cast("double"), 3).alias("PREDICTED_FRAUD_SCORE")
+    return _stored(spark, f"{base}/scores").select("VISIT_ID", number, "MODEL_VERSION", "SCORE_DATE")
+
+
+def json_files(spark, sf_dir):
+    """Features as JSON arrays of up to 500 records and as files of one object, read without lines."""
+    path = _folder(spark, sf_dir, "json_arrays")
+    cleaned = _clean(spark, sf_dir)
+    alone = F.col(VISITS.id) % 1000 == 7
+    file = F.when(alone, F.col(VISITS.id)).otherwise(-1 - F.floor(F.col(VISITS.id) / 500)).alias("file")
+    records = cleaned.select(file, F.to_json(F.struct(*cleaned.columns)).alias("record")).groupBy("file")
+    array = F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]"))
+    texts = records.agg(F.when(F.col("file") >= 0, F.max("record")).otherwise(array).alias("value"))
+    texts.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return readers.read_feature_json(spark, path, VISITS, cleaned.schema[VISITS.id].dataType)
 
 
 def _measured(extract: DataFrame) -> DataFrame:
-    return extract.select(SPLIT, VISITS.target, _simple_score().alias("prediction"))
+    """The score of every fifth visit count is missing."""
+    known = F.when(F.col("visit_count") % 5 != 0, _simple_score())
+    return extract.select(SPLIT, VISITS.target, known.alias("prediction"))
 
 
 def regression_metrics(spark, sf_dir):
     measured = metrics.regression_metrics(
         _measured(_training(spark, sf_dir)), VISITS.target, "prediction", SPLIT
     )
-    return measured.select(SPLIT, *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
+    return measured.select(SPLIT, *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")], "n", "skipped")
 
 
 def model_versions(spark, sf_dir):
@@ -407,12 +515,43 @@ def daily_average(spark, sf_dir):
 
 
 def scores_joined_back(spark, sf_dir):
-    later = F.col("SCORE_DATE") >= F.lit("2024-01-08").cast("date")
-    scores = _history(spark, sf_dir).filter(later)
+    """Scores of the visits with a target, so the others stay unmatched."""
+    labelled = _visits(spark, sf_dir).filter(F.col(VISITS.target).isNotNull()).select(F.col("visit_id").cast("string").alias("VISIT_ID"))
+    scores = _history(spark, sf_dir).join(labelled, "VISIT_ID", "left_semi")
     visits = ext.clean_for_scoring(_visits(spark, sf_dir), VISITS, keep=[VISITS.event_time])
     return sc.join_back(visits, scores, VISITS)
 
 
+def exact_load(spark, sf_dir):
+    """Ids delivered twice with NULLs among them, predictions repeated, as text, as NaN, conflicting, then corrected."""
+    folder = _folder(spark, sf_dir, "exact")
+    scored = _scored(_scoring(spark, sf_dir)).withColumn("visit_count", F.col(VISITS.id) % 10)
+    ids = scored.select(F.when(F.col("visit_count") != 3, F.col(VISITS.id)).alias(VISITS.id))
+    text = F.col("prediction").cast("string")
+    first = F.when(F.col("visit_count") == 1, "no number").when(F.col("visit_count") == 2, "NaN").otherwise(text)
+    lower = F.when(F.col("visit_count") == 4, (F.col("prediction") - 1).cast("string")).otherwise(first)
+    sc.create_score_table(spark, VISITS, folder)
+    deliveries = (
+        scored.select(VISITS.id, first.alias("raw")).union(scored.select(VISITS.id, lower.alias("raw"))),
+        scored.select(VISITS.id, F.when(F.col("visit_count") < 3, text).otherwise("0").alias("raw")),
+    )
+    for given in deliveries:
+        numbers = given.select(VISITS.id, cleaning.score("raw").alias("prediction"))
+        paired = sc.pair_scores(ids.union(ids), numbers, VISITS.id)
+        rows = sc.score_rows(paired, VISITS, AS_OF, "v1", scored_at=SCORED_AT)
+        sc.append_scores(rows, sc.read_score_table(spark, VISITS, folder), VISITS, folder)
+    return _stored(spark, folder)
+
+
+def pairing_counts(spark, sf_dir):
+    """What does not pair: ids twice and NULL, predictions for fewer and for other ids."""
+    scored = _scored(_clean(spark, sf_dir))
+    one = F.col(VISITS.id) % 10
+    ids = scored.filter(one != 4).select(F.when(one != 3, F.col(VISITS.id)).alias(VISITS.id))
+    more = scored.filter(one == 6).select(VISITS.id, (F.col("prediction") + 1).alias("prediction"))
+    return sc.pairing_counts(ids.union(ids.filter("visit_id % 10 = 1")), scored.filter(one != 5).union(more), VISITS.id)
+
+
 # --- files --------------------------------------------------------------------------------------
 
 
@@ -460,6 +599,52 @@ def feature_json(spark, sf_dir):
     return readers.read_feature_json(spark, path, VISITS, cleaned.schema[VISITS.id].dataType, lines=True)
 
 
+def ids_by_name(spark, sf_dir):
+    """The id is the second column."""
+    path = _folder(spark, sf_dir, "ids_by_name")
+    rows = _clean(spark, sf_dir).select("visit_count", VISITS.id)
+    rows.write.mode("overwrite").options(**CSV_OPTIONS).option("header", True).csv(path)
+    return readers.read_ids_csv(spark, path, VISITS.id, "bigint")
+
+
+def folder_of_different_files(spark, sf_dir):
+    """Parquet parts with different columns, and CSV parts whose headers have another order."""
+    base = _folder(spark, sf_dir, "different")
+    rows = _clean(spark, sf_dir).select(VISITS.id, "is_mobile", "publisher_name")
+    rows.select(VISITS.id).filter("visit_id % 2 = 0").write.mode("overwrite").parquet(f"{base}/parquet/a")
+    rows.filter("visit_id % 2 = 1").write.mode("overwrite").parquet(f"{base}/parquet/b")
+    csv = {"header": "true", **CSV_OPTIONS}
+    rows.select("publisher_name", VISITS.id).filter("visit_id % 2 = 0").write.mode("overwrite").options(**csv).csv(f"{base}/csv/a")
+    rows.filter("visit_id % 2 = 1").write.mode("overwrite").options(**csv).csv(f"{base}/csv/b")
+    typed = "visit_id bigint, is_mobile int, publisher_name string"
+    parts = {"parquet": readers.read_folder(spark, f"{base}/parquet"), "csv": readers.read_folder(spark, f"{base}/csv", typed)}
+    both = [df.select(F.lit(kind).alias("format"), VISITS.id, "is_mobile", "publisher_name") for kind, df in parts.items()]
+    return both[0].unionByName(both[1])
+
+
+def damaged_features(spark, sf_dir):
+    """A feature CSV with text in a number, with a surplus field, and with a field too few."""
+    path = _folder(spark, sf_dir, "damaged")
+    rows = _clean(spark, sf_dir)
+    fields = [F.lit("abc") if c == "visit_count" else F.col(c).cast("string") for c in VISITS.raw_features]
+    whole = [F.col(c).cast("string") for c in VISITS.raw_features]
+    quoted = lambda cells: F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in cells])
+    kind = F.col(VISITS.id) % 10
+    line = F.when(kind == 0, quoted(fields)).when(kind == 1, F.concat(quoted(whole), F.lit(",9"))).when(kind == 2, quoted(whole[:-1])).otherwise(quoted(whole))
+    rows.select(line.alias("value")).write.mode("overwrite").text(path)
+    return readers.damage(readers.read_feature_csv(spark, path, VISITS, keep_damaged=True))
+
+
+def raw_categories(spark, sf_dir):
+    """A boolean and a text column encoded in all three ways."""
+    visits = _visits(spark, sf_dir).select(VISITS.id, "is_mobile", "publisher_name")
+    columns = ["is_mobile", "publisher_name"]
+    codes = enc.fit_codes(visits, columns)
+    ways = {"inline": {}, "broadcast": {"inline_bytes": 0}, "shuffled": {"broadcast_bytes": 0, "inline_bytes": 0}}
+    parts = [enc.encode(visits, codes, columns, **limits).withColumn("way", F.lit(way)) for way, limits in ways.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def predictions_csv(spark, sf_dir):
     path = _folder(spark, sf_dir, "predictions_csv")
     writers.write_predictions_csv(_scored(_clean(spark, sf_dir)), path)
@@ -485,9 +670,27 @@ def predictions_json(spark, sf_dir):
 
 
 def expired_partitions(spark, sf_dir):
-    seen = _visits(spark, sf_dir).select(F.to_date("created_at").alias("day")).distinct()
-    kinds = F.explode(F.array(*[F.lit(r.dataset) for r in retention.RETENTION])).alias("dataset")
-    return _day_as_text(retention.due_partitions(seen.select(kinds, "day"), date(2024, 4, 10)), "day")
+    """Written training and scoring folders, and models by the day they were trained."""
+    base = _folder(spark, sf_dir, "retained")
+    seen = ext.clean_for_scoring(_visits(spark, sf_dir), VISITS, keep=[VISITS.event_time])
+    days_of = seen.select(VISITS.id, F.to_date(VISITS.event_time).alias("day"))
+    for dataset, partition in (("training", "run_date"), ("inference", "score_date")):
+        by_day = days_of.withColumnRenamed("day", partition)
+        by_day.write.mode("overwrite").partitionBy(partition).parquet(f"{base}/{dataset}")
+    trained = days_of.groupBy("day").agg(F.count("*").alias("n")).select(
+        F.col("day").cast("timestamp_ntz").alias("trained_at"),
+        F.lit("TRAIN").alias("dataset"),
+        *[F.lit(0.0).alias(c) for c in ("rmse", "mae", "r2")],
+        F.concat(F.lit("m-"), F.col("day").cast("string")).alias("model_version"),
+    )
+    boost.register_version(trained, f"{base}/versions")
+    listed = [
+        retention.partition_days(spark, "training", f"{base}/training", "run_date"),
+        retention.partition_days(spark, "inference", f"{base}/inference", "score_date"),
+        retention.model_days(boost.read_versions(spark, f"{base}/versions")).drop("model_version"),
+    ]
+    every = listed[0].unionByName(listed[1]).unionByName(listed[2])
+    return _day_as_text(retention.due_partitions(every, date(2024, 4, 10)), "day")
 
 
 def expired_folders(spark, sf_dir):
@@ -555,6 +758,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q45_expired_folders": expired_folders,
         "q46_daily_run": daily_run,
         "q47_ordinal_transform_broadcast": ordinal_transform_broadcast,
+        "q48_raw_categories": raw_categories,
+        "q49_folder_of_different_files": folder_of_different_files,
+        "q50_ids_by_name": ids_by_name,
+        "q51_damaged_features": damaged_features,
+        "q52_exact_load": exact_load,
+        "q53_flag_scores": flag_scores,
+        "q54_flag_metrics": flag_metrics,
+        "q55_early_stopping": early_stopping,
+        "q56_scored_files": scored_files,
+        "q57_json_files": json_files,
+        "q58_empty_day_run": empty_day_run,
+        "q59_pairing_counts": pairing_counts,
+        "q60_stored_order": stored_order,
         **training_text,
     }
 
@@ -615,10 +831,19 @@ history AS ({_history_sql("visits")})
             "TIMESTAMP '2024-01-31 03:00:00' AS SCORED_AT, TIMESTAMP '2024-01-31 03:00:00' AS CREATED_AT FROM scored"
         )
 
+    known = f"CASE WHEN visit_count % 5 <> 0 THEN {simple} END"
+    errors = """sqrt(avg(power(y - p, 2))) AS rmse, avg(abs(y - p)) AS mae,
+1 - sum(power(y - p, 2)) / (var_pop(CASE WHEN p IS NOT NULL THEN y END) * count(p)) AS r2"""
+
     def measured(name: str) -> str:
-        return f"""SELECT data_split AS {name}, sqrt(avg(power(y - p, 2))) AS rmse, avg(abs(y - p)) AS mae,
-1 - sum(power(y - p, 2)) / (var_pop(y) * count(*)) AS r2
-FROM (SELECT data_split, fraud_score AS y, {simple} AS p FROM training) GROUP BY data_split"""
+        return f"""SELECT data_split AS {name}, {errors}, count(p) AS n, count(*) - count(p) AS skipped
+FROM (SELECT data_split, fraud_score AS y, {known} AS p FROM training) GROUP BY data_split"""
+
+    # One tree on three flags splits the training rows into groups by flags.
+    flags = ", ".join(VISITS.boolean)
+    by_flags = f"SELECT {flags}, avg(fraud_score) AS p FROM train_side GROUP BY {flags}"
+    flagged = f"""{head}, by_flags AS ({by_flags}) SELECT visit_id, p AS prediction
+FROM clean JOIN by_flags USING ({flags}) WHERE CAST(created_at AS DATE) = DATE '2024-01-30'"""
 
     def due(dataset: str, action: str, as_of: str, days_kept: int) -> str:
         return (
@@ -642,6 +867,12 @@ FROM (SELECT data_split, fraud_score AS y, {simple} AS p FROM training) GROUP BY
         )
     )
     transformed = encoded("clean", "first_day", "s.visit_id", "")
+    encoded_training = encoded(
+        "training",
+        "train_side",
+        f"s.fraud_score, s.data_split, {', '.join('s.' + c for c in VISITS.boolean)}",
+        "".join(f", s.{c}" for c in VISITS.numeric),
+    )
     all_clean = f"{head} SELECT visit_id, {features} FROM clean"
     training_rows = f"{head} SELECT {features}, fraud_score, data_split FROM training"
 
@@ -660,12 +891,7 @@ count(*) FILTER (data_split = 'TEST') AS test FROM training""",
         "q11_scoring_features": f"{head} SELECT {features} FROM scoring",
         "q12_ordinal_fit": f"{head} {codes('clean')}",
         "q13_ordinal_transform": transformed,
-        "q14_feature_matrix": encoded(
-            "training",
-            "train_side",
-            f"s.fraud_score, s.data_split, {', '.join('s.' + c for c in VISITS.boolean)}",
-            "".join(f", s.{c}" for c in VISITS.numeric),
-        ),
+        "q14_feature_matrix": encoded_training,
         "q15_score_join": f"""{head} SELECT c.visit_id, {simple} AS prediction FROM clean c
 JOIN visits v ON c.visit_id = v.visit_id WHERE v.fraud_score IS NOT NULL""".replace(
             simple, "20e0 * c.is_mobile + c.visit_count / 2e0 + c.gross_revenue / 1e1"
@@ -674,14 +900,16 @@ JOIN visits v ON c.visit_id = v.visit_id WHERE v.fraud_score IS NOT NULL""".repl
         "q17_idempotent_append": f"{head} {stored('v1')}",
         "q18_scores_by_date": f"{head} SELECT {history} FROM history WHERE SCORE_DATE = DATE '2024-01-15'",
         "q19_scores_by_visit": f"{head} SELECT {history} FROM history WHERE VISIT_ID = '17' ORDER BY SCORED_AT DESC",
-        "q20_daily_average": f"""{head} SELECT CAST(SCORE_DATE AS VARCHAR) AS SCORE_DATE, round(avg(PREDICTED_FRAUD_SCORE), 6) AS avg_score,
-count(*) AS num_scored FROM history GROUP BY history.SCORE_DATE ORDER BY history.SCORE_DATE DESC""",
-        "q21_scores_joined_back": f"""{head}, latest AS (SELECT * FROM history WHERE SCORE_DATE >= DATE '2024-01-08'
-QUALIFY ROW_NUMBER() OVER (PARTITION BY VISIT_ID, SCORE_DATE, MODEL_VERSION ORDER BY SCORED_AT DESC) = 1)
-SELECT t.*, f.PREDICTED_FRAUD_SCORE, f.MODEL_VERSION FROM clean t
-LEFT JOIN latest f ON CAST(t.visit_id AS VARCHAR) = f.VISIT_ID AND CAST(t.created_at AS DATE) = f.SCORE_DATE""",
+        "q20_daily_average": f"""{head} SELECT DISTINCT CAST(SCORE_DATE AS VARCHAR) AS SCORE_DATE,
+round(avg(PREDICTED_FRAUD_SCORE) OVER day, 6) AS avg_score, count(*) OVER day AS num_scored
+FROM history WINDOW day AS (PARTITION BY SCORE_DATE)""",
+        "q21_scores_joined_back": f"""{head}, ranked AS (SELECT h.*, ROW_NUMBER() OVER (
+  PARTITION BY h.VISIT_ID, h.SCORE_DATE, h.MODEL_VERSION ORDER BY h.SCORED_AT DESC) AS nth
+FROM history h SEMI JOIN (SELECT CAST(visit_id AS VARCHAR) AS known FROM visits WHERE fraud_score IS NOT NULL) v ON h.VISIT_ID = v.known)
+SELECT c.*, r.PREDICTED_FRAUD_SCORE, r.MODEL_VERSION FROM clean c
+LEFT JOIN ranked r ON r.nth = 1 AND r.VISIT_ID = CAST(c.visit_id AS VARCHAR) AND r.SCORE_DATE = CAST(c.created_at AS DATE)""",
         "q22_regression_metrics": f"""{head} SELECT data_split, round(rmse, 6) AS rmse, round(mae, 6) AS mae,
-round(r2, 6) AS r2 FROM ({measured("data_split")})""",
+round(r2, 6) AS r2, n, skipped FROM ({measured("data_split")})""",
         "q24_empty_day_guard": f"""{head} SELECT count(*) AS records FROM visits
 WHERE CAST(created_at AS DATE) = DATE '2024-02-29'""",
         "q25_expired_partitions": f"""{head} {due("training", "expire", "2024-04-10", 90)}
@@ -713,5 +941,39 @@ CROSS JOIN (VALUES ('model-a', TIMESTAMP '2024-01-16 02:00:00'), ('model-b', TIM
 AS v(model_version, trained_at)""",
         "q47_ordinal_transform_broadcast": transformed,
         "q45_expired_folders": f"{head} {due('inference', 'expire', '2024-02-20', 30)}",
+        "q23_gbt_scores": f"""{head} SELECT count(*) AS scored, count(DISTINCT visit_id) AS ids, CAST(0 AS BIGINT) AS empty,
+TRUE AS beats_mean FROM scoring""",
+        "q46_daily_run": f"""{head} SELECT '2024-01-30' AS SCORE_DATE, 'model-20240131' AS MODEL_VERSION, count(*) AS scored,
+count(DISTINCT visit_id) AS ids, count(*) AS in_range FROM scoring""",
+        "q48_raw_categories": f"""{head}, m AS (SELECT value, ROW_NUMBER() OVER (ORDER BY value) - 1 AS code
+FROM (SELECT DISTINCT CAST(is_mobile AS VARCHAR) AS value FROM visits WHERE is_mobile IS NOT NULL)),
+p AS (SELECT value, ROW_NUMBER() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT publisher_name AS value FROM visits))
+SELECT visit_id, CAST(COALESCE(m.code, -1) AS INT) AS is_mobile_ENCODED, CAST(COALESCE(p.code, -1) AS INT) AS publisher_name_ENCODED, way
+FROM visits v LEFT JOIN m ON CAST(v.is_mobile AS VARCHAR) = m.value LEFT JOIN p ON v.publisher_name = p.value
+CROSS JOIN (VALUES ('inline'), ('broadcast'), ('shuffled')) AS w(way)""",
+        "q49_folder_of_different_files": f"""{head} SELECT format, visit_id,
+CASE WHEN visit_id % 2 = 1 THEN is_mobile END AS is_mobile,
+CASE WHEN visit_id % 2 = 1 OR format = 'csv' THEN publisher_name END AS publisher_name
+FROM clean CROSS JOIN (VALUES ('parquet'), ('csv')) AS f(format)""",
+        "q50_ids_by_name": f"{head} SELECT visit_id FROM clean",
+        "q51_damaged_features": f"""{head} SELECT count(*) AS read, count(*) FILTER (visit_id % 10 < 3) AS rejected FROM clean""",
+        "q52_exact_load": f"{head} {stored('v1')} WHERE visit_id % 10 <> 3",
+        "q53_flag_scores": f"SELECT visit_id, round(prediction, 6) AS prediction FROM ({flagged})",
+        "q54_flag_metrics": f"""{head}, by_flags AS ({by_flags}) SELECT dataset, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(r2, 6) AS r2
+FROM (SELECT CASE data_split WHEN 'TRAIN' THEN 'TRAIN' ELSE 'VALIDATION' END AS dataset, {errors}
+  FROM (SELECT data_split, fraud_score AS y, p FROM training JOIN by_flags USING ({flags})) GROUP BY data_split)""",
+        "q55_early_stopping": f"""{head} SELECT count(*) AS records, 1 AS kept, 6 AS tried, 0e0 AS best_error
+FROM visits WHERE created_at >= DATE '2024-01-31' - INTERVAL 15 DAY""",
+        "q56_scored_files": f"""SELECT CAST(visit_id AS VARCHAR) AS VISIT_ID, round(CAST(CAST(prediction AS FLOAT) AS DOUBLE), 3) AS PREDICTED_FRAUD_SCORE,
+'m' AS MODEL_VERSION, '2024-01-30' AS SCORE_DATE FROM ({flagged})""",
+        "q57_json_files": all_clean,
+        "q58_empty_day_run": f"""{head} SELECT count(*) AS visits,
+CAST(count(*) FILTER (CAST(created_at AS DATE) = DATE '2024-01-30') AS INT) AS first, 0 AS second, 0 AS left FROM visits""",
+        "q59_pairing_counts": f"""{head} SELECT count(*) FILTER (one NOT IN (3, 4)) AS ids, count(*) FILTER (one = 1) AS repeated,
+count(*) FILTER (one = 3) AS null_ids, count(*) FILTER (one = 5) AS without_prediction,
+count(*) FILTER (one IN (3, 4)) AS without_id, count(*) FILTER (one = 6) AS conflicting
+FROM (SELECT visit_id % 10 AS one FROM clean)""",
+        "q60_stored_order": f"""SELECT round(CAST(sum(CAST({' + '.join(f'{i + 1} * {c}' for i, c in enumerate(list(VISITS.model_features)[::-1]))} AS DECIMAL(30, 6))) AS DOUBLE), 2) AS total,
+count(*) AS records FROM ({encoded_training})""",
         **training_text,
     }
