@@ -37,3 +37,9 @@ def test_label_is_the_key_below_the_share(spark, share):
     ids = spark.range(3000).withColumn("id", F.when(F.col("id") > 0, F.col("id")))
     below = F.when(split_key("id") < share, TEST).otherwise(TRAIN)
     assert ids.filter(split_label("id", share) != below).isEmpty()
+
+
+def test_rows_without_an_id_are_on_both_sides(spark):
+    rows = spark.range(2000).select(F.lit(None).cast("int").alias("none"), F.col("id").alias("at"))
+    sides = rows.groupBy(split_label("none", instead="at")).count().collect()
+    assert len(sides) == 2 and abs(min(r["count"] for r in sides) / 2000 - 0.2) < 0.05

@@ -16,27 +16,31 @@ TEST = "TEST"
 SPLIT = "data_split"
 
 
-def _hash(id_column: str, seed: int) -> Column:
-    """The first 32 bits of ``md5('<seed>:<id>')`` as eight hex digits."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
+def _hash(id_column: str, seed: int, instead: str | None) -> Column:
+    """The first 32 bits of ``md5('<seed>:<id>')`` as eight hex digits; a NULL id gives way to ``instead``."""
+    known = [F.col(c).cast("string") for c in (id_column, instead) if c is not None]
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(*known, F.lit("")))
     return F.substring(F.md5(text), 1, 8)
 
 
-def split_key(id_column: str, seed: int = SEED) -> Column:
+def split_key(id_column: str, seed: int = SEED, instead: str | None = None) -> Column:
     """Uniform number in [0, 1).
 
     It depends on nothing but the id and the seed, so neither a rerun, a lost executor nor another
-    partitioning moves a row to the other side.
+    partitioning moves a row to the other side. Rows without an id would all get one number, so they are
+    told apart by the column ``instead``, such as the event time.
     """
-    return F.conv(_hash(id_column, seed), 16, 10).cast("double") / F.lit(2.0**32)
+    return F.conv(_hash(id_column, seed, instead), 16, 10).cast("double") / F.lit(2.0**32)
 
 
-def split_label(id_column: str, test_share: float = TEST_SHARE, seed: int = SEED) -> Column:
+def split_label(
+    id_column: str, test_share: float = TEST_SHARE, seed: int = SEED, instead: str | None = None
+) -> Column:
     """TEST where ``split_key < test_share``, else TRAIN.
 
     Compares the hex digits, which sort as the numbers do; turning each into a number costs as much
     as the hash.
     """
     bound = math.ceil(test_share * 2**32)
-    below = _hash(id_column, seed) < f"{bound:08x}" if bound < 2**32 else F.lit(True)
+    below = _hash(id_column, seed, instead) < f"{bound:08x}" if bound < 2**32 else F.lit(True)
     return F.when(below, TEST).otherwise(TRAIN).alias(SPLIT)

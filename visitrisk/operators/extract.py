@@ -48,7 +48,7 @@ def training_extract(
 ) -> DataFrame:
     """Labelled visits of the lookback, cleaned, each marked TRAIN or TEST in ``data_split``."""
     recent = labelled_since(visits, spec, as_of - timedelta(days=lookback_days))
-    return recent.select(*_cleaned(spec), spec.target, split_label(spec.id, test_share, seed))
+    return recent.select(*_cleaned(spec), spec.target, split_label(spec.id, test_share, seed, spec.event_time))
 
 
 def one_split(extract: DataFrame, side: str) -> DataFrame:
