@@ -1,7 +1,7 @@
 """Language identification by a blended-spectrum string kernel with Nyström landmarks and kernel ridge regression.
 
 **Kernel.** A text is the set of its character 1- to 3-grams: lower-cased, each run of characters that are no
-letters is one space, with a space at both ends. The kernel of two texts is the number of common n-grams over
+letters is one space, with a space at both ends; the space alone is no n-gram. The kernel of two texts is the number of common n-grams over
 the geometric mean of their numbers (presence, not frequency).
 
 **Fit.** From rows with a language: a bounded sample, of about the same size for each language and chosen by
@@ -35,7 +35,8 @@ UNDETERMINED = "und"
 #: Expected number of training texts and of landmarks, over all languages.
 TRAINING_TEXTS = 3000
 LANDMARKS = 240
-RIDGE = 1e-2
+#: Per training text.
+RIDGE = 1e-4
 #: Texts scored by one matrix product.
 BATCH = 64
 
@@ -66,6 +67,7 @@ def ngrams(text: str | None) -> np.ndarray:
     three = np.unique((line[:-2] << np.uint64(42)) | (line[1:-1] << np.uint64(21)) | line[2:])
     two = np.unique(three >> np.uint64(21))
     one = np.unique(two >> np.uint64(21))
+    one = one[one != 32]
     # 0 marks an n-gram's unused places; the 3-gram with the end mark is no n-gram.
     three = three[(three & np.uint64(0x1FFFFF)) > 0]
     return np.concatenate([one, two, three])
@@ -101,13 +103,16 @@ def kernels(texts: list[str | None], grams: np.ndarray, presence: np.ndarray) ->
     return out / np.sqrt(np.maximum(sizes, 1))[:, None].astype(np.float32), sizes
 
 
-def _sampled(labelled: DataFrame, total: int) -> DataFrame:
-    """About ``total`` rows, spread over the languages, by hash of the id; rows repeated in full count once."""
+def _sampled(labelled: DataFrame, total: int, seed: int) -> DataFrame:
+    """About ``total`` rows, spread over the languages, by hash of the id; rows repeated in full count once.
+
+    A sample of a sample needs another seed, or else all of it would be drawn.
+    """
     counts = {r["lang"]: max(1, r["n"]) for r in labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).toLocalIterator()}
     if not counts:
         return labelled
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, total / len(counts) / n)])[F.col("lang")]
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     return labelled.filter(draw < share).dropDuplicates()
 
 
@@ -117,8 +122,8 @@ def fit(labelled: DataFrame, training_texts: int = TRAINING_TEXTS, landmarks: in
     What reaches the driver is bounded: the landmarks' n-grams, then one kernel row per training text.
     """
     rows = labelled.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    sample = stored(_sampled(rows, training_texts), "languages")
-    chosen = _sampled(sample, landmarks)
+    sample = stored(_sampled(rows, training_texts, 1), "languages")
+    chosen = _sampled(sample, landmarks, 2)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +154,7 @@ def fit(labelled: DataFrame, training_texts: int = TRAINING_TEXTS, landmarks: in
     answers = np.where(taught["lang"].to_numpy()[:, None] == np.array(languages, object)[None, :], 1.0, -1.0)
     # Each language weighs the same, whatever its share of the sample.
     weight = (1 / taught.groupby("lang")["lang"].transform("count")).to_numpy() * len(taught) / len(languages)
-    square = features.T @ (features * weight[:, None]) + ridge * len(taught) * 1e-2 * np.eye(features.shape[1])
+    square = features.T @ (features * weight[:, None]) + ridge * len(taught) * np.eye(features.shape[1])
     solved = np.linalg.solve(square, features.T @ (answers * weight[:, None]))
     return Model(languages, grams, presence, (nystroem @ solved[:-1]).astype(np.float32), solved[-1].astype(np.float32))
 
