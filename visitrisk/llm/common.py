@@ -8,11 +8,12 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitrisk.scratch import application_folder
+from visitrisk.sources.folders import remove
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Bytes of text that a task works on at a time; arrays of eight times that size live next to them.
@@ -29,6 +30,11 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Removes what :func:`stored` wrote in this application. For when its results have been written."""
+    remove(spark, application_folder(spark, "llm"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read back.
 
@@ -39,12 +45,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_outputs(df: DataFrame, outputs: dict[str, Column]) -> DataFrame:
-    """The columns of ``df`` plus ``outputs``; an output replaces an input column of the same name."""
-    taken = {name.lower() for name in outputs}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken], *[c.alias(n) for n, c in outputs.items()])
-
-
 _TYPES = {"boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
 
 

@@ -1,10 +1,11 @@
 """Toxicity by multiple-instance learning: a document is toxic if any of its sentences is.
 
 **Model.** Sentences end at ``.``, ``!``, ``?`` or a line break. A sentence's score is the logistic of an
-intercept plus the weights of its distinct words; a document's score is the noisy-or of its sentences,
+intercept plus the weights of its distinct telling words, 0 without any; a document's score is the noisy-or of its sentences,
 1 - prod(1 - p). Only document labels are known: the weights maximise the likelihood of those labels, so
 the gradient of a toxic document goes to the sentences that explain it. The same sentence scores then say
-where the offence is.
+where the offence is. Labels err whatever a text's length, so in the fit one more cause, the leak, can make a
+document toxic; else each sentence would carry some of the errors, and long clean texts their sum.
 
 **Fit.** Words that take part are those whose document counts differ between the labels beyond chance; the
 noisy-or is then fitted with a ridge penalty. Copies would let one labelled text vote many times, so texts
@@ -34,8 +35,8 @@ TRAINING_TEXTS = 8_000
 #: A word takes part if the likelihood-ratio test puts its two shares so many standard deviations apart, in at least so many votes.
 DEVIATION = 5.0
 LEAST_VOTES = 6
-RIDGE = 1e-3
-STEPS = 300
+RIDGE = 2e-6
+STEPS = 400
 DECIDE = 0.7
 
 RESULT = T.StructType([*columns("score double, predicted int, n_sentences long"), T.StructField("sentences", T.ArrayType(T.StructType([*columns("sentence int, score double")])))])
@@ -69,8 +70,9 @@ class Model:
         present = np.unique(at)
         where, which = self.known.find(words.hashes)
         pairs = np.unique(at[where] * (len(self.words) + 1) + which)
-        z = np.full(len(present), self.intercept)
-        np.add.at(z, np.searchsorted(present, pairs // (len(self.words) + 1)), self.weights[pairs % (len(self.words) + 1)])
+        z, own = np.full(len(present), -np.inf), np.searchsorted(present, pairs // (len(self.words) + 1))
+        z[own] = self.intercept
+        np.add.at(z, own, self.weights[pairs % (len(self.words) + 1)])
         text = np.searchsorted(first, present, "right") - 1
         number = np.arange(len(present)) - np.searchsorted(text, text)
         return text, number, 1 / (1 + np.exp(-np.clip(z, -700, 700)))
@@ -120,10 +122,13 @@ def _fit(taught: pa.Table) -> Model:
     taught = taught.combine_chunks().filter(pa.compute.greater(pa.compute.list_value_length(taught["words"]), 0))
     votes, y = taught["vote"].to_numpy(), taught["toxic"].to_numpy() > 0
     words = joined([c.flatten().to_numpy() for c in taught["words"].chunks]).view(np.uint64)
-    doc = np.repeat(np.arange(len(y)), pa.compute.list_value_length(taught["words"]).to_numpy())
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), pa.compute.list_value_length(taught["words"]).to_numpy())
     number = joined([c.flatten().to_numpy() for c in taught["sentence"].chunks])
-    places, sentence = np.unique(doc << 32 | number, return_inverse=True)
-    doc, base = places >> 32, len(places)
+    # A text's words come sentence by sentence, so a sentence begins where either number changes.
+    begins = np.append(True, (doc[1:] != doc[:-1]) | (number[1:] != number[:-1]))[: len(doc)]
+    sentence = np.cumsum(begins, dtype=np.int32) - 1
+    doc, base = doc[begins], int(begins.sum())
+    del taught, number, begins
     if not y.any() or y.all():
         return Model()
     _, group, size = np.unique(votes, return_inverse=True, return_counts=True)
@@ -131,19 +136,23 @@ def _fit(taught: pa.Table) -> Model:
     vocabulary, word = np.unique(words, return_inverse=True)
     chosen = _telling(word, doc[sentence], len(vocabulary), y, vote)
     keep = np.isin(word, chosen)
-    word, sentence = np.searchsorted(chosen, word[keep]), sentence[keep]
+    word, (present, sentence) = np.searchsorted(chosen, word[keep]), np.unique(sentence[keep], return_inverse=True)
+    doc, base = doc[present], len(present)
     # Rarely said words need large weights: the ridge is weak, and steps are scaled by running second moments.
-    w, b = np.zeros(len(chosen)), -6.0
-    moments, total = np.zeros((2, len(chosen) + 1)), vote.sum()
+    logistic = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    w, b, leak = np.zeros(len(chosen)), -8.0, -3.0
+    moments, total = np.zeros((2, len(chosen) + 2)), vote.sum()
     for step in range(1, STEPS + 1):
-        p = 1 / (1 + np.exp(-np.clip(b + np.bincount(sentence, w[word], base), -30, 30)))
-        whole = np.clip(noisy_or(p, doc, len(y)), 1e-9, 1)
+        p, chance = logistic(b + np.bincount(sentence, w[word], base)), logistic(leak)
+        clean = 1 - noisy_or(p, doc, len(y))
+        whole = np.clip(1 - (1 - chance) * clean, 1e-9, 1)
         grad_z = np.where(y[doc], p * ((1 - whole) / whole)[doc], -p) * vote[doc]
-        grad = np.append(np.bincount(word, grad_z[sentence], len(chosen)) / total - RIDGE / 100 * w, grad_z.sum() / total)
+        grad_leak = np.where(y, chance * (1 - chance) * clean / whole, -chance) * vote
+        grad = np.concatenate([np.bincount(word, grad_z[sentence], len(chosen)) / total - RIDGE * w, [grad_z.sum() / total, grad_leak.sum() / total]])
         moments[0] = 0.9 * moments[0] + 0.1 * grad
-        moments[1] = 0.99 * moments[1] + 0.01 * grad**2
-        move = 0.1 * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-8)
-        w, b = w + move[:-1], b + move[-1]
+        moments[1] = 0.95 * moments[1] + 0.05 * grad**2
+        move = 0.25 * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.95**step)) + 1e-8)
+        w, b, leak = w + move[:-2], b + move[-2], leak + move[-1]
     return Model(vocabulary[chosen], w, float(b))
 
 
