@@ -229,6 +229,15 @@ def test_line_dedup_of_random_runs(spark):
         assert sorted((r.doc_id, r.text) for r in linededup.dedup_lines(rows, min_words).collect()) == sorted((d[0], t) for d, t in expected.items())
 
 
+@pytest.mark.parametrize("sizes", [(60, 5), (40, 20, 5), (5, 60), (20, 40, 10, 30, 3)])
+def test_repeated_run_goes_to_its_last_line(spark, sizes):
+    run = [" ".join(f"r{k}w{i}" for i in range(n)) for k, n in enumerate(sizes)]
+    docs = [(1, "\n".join(["one begins", *run, "one ends"])), (2, "\n".join(["two begins", *run, "two ends"])), (3, "\n".join(run))]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in linededup.dedup_lines(rows, both_ends=True).collect()}
+    assert found == {1: docs[0][1], 2: "two begins\ntwo ends", 3: ""}
+
+
 def test_no_passage_of_over_fifty_words_is_left_twice(spark):
     kept = queries.queries()["op6_line_dedup"](spark, SF_LARGER).select("text").collect()
     lines = [x for r in kept for x in (r.text or "").split("\n") if len(x.split()) >= 50]
