@@ -7,7 +7,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from visitrisk.llm import components, decontam, linededup, quality, queries, simhash
+from visitrisk.llm import components, decontam, linededup, passages, quality, queries, simhash
 
 SF = "/root/testdata/sf0.001"
 SF_LARGER = "/root/testdata/sf0.01"
@@ -243,3 +243,53 @@ def test_no_passage_of_over_fifty_words_is_left_twice(spark):
     lines = [x for r in kept for x in (r.text or "").split("\n") if len(x.split()) >= 50]
     assert len(lines) == len(set(lines))
     assert list(itertools.islice(lines, 1))
+
+
+# --- passage dedup ------------------------------------------------------------------------------
+
+
+def passages_cut(docs, n):
+    """Expected (words left, words cut) of documents with distinct ids, in order."""
+    seen, out = set(), {}
+    for doc, text in docs:
+        words, gone = plain.SPACE_WORD.findall(text or ""), set()
+        for i in range(len(words) - n + 1):
+            if (w := tuple(words[i : i + n])) in seen:
+                gone |= set(range(i, i + n))
+            seen.add(w)
+        out[doc] = ([w for i, w in enumerate(words) if i not in gone], len(gone))
+    return out
+
+
+def same_cut(found, docs, n):
+    return {r.doc_id: (plain.SPACE_WORD.findall(r.text or ""), r.n_cut) for r in found} == passages_cut(docs, n)
+
+
+def test_passage_inside_lines_that_differ_goes(spark):
+    docs = [(1, f"one {PASSAGE} begins here\nnext"), (2, f"other  start {PASSAGE.replace('p30 ', 'p30\n\n')} and\tend \n\nlast"), (3, PASSAGE), (4, None), (5, "")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n_cut", F.lit("x"))
+    found = {r.doc_id: (r.text, r.n_cut) for r in passages.cut_passages(rows).collect()}
+    assert found == {1: (docs[0][1], 0), 2: ("other  start\nand\tend \n\nlast", 60), 3: ("", 60), 4: (None, 0), 5: ("", 0)}
+
+
+@pytest.mark.parametrize("min_words", [50, 12])
+def test_passages_equal_plain_version(spark, min_words):
+    docs = sorted(documents(spark, SF_LARGER))
+    rows = spark.read.parquet(f"{SF_LARGER}/documents.parquet")
+    found = passages.cut_passages(rows, min_words).collect()
+    assert same_cut(found, docs, min_words) and sum(r.n_cut for r in found) > 0
+
+
+def test_passages_of_random_texts(spark):
+    rng = random.Random(8)
+    docs = [(i, "".join(rng.choice(["a", "b", "ü"]) + rng.choice([" ", "\n", "  ", "\n\n"]) for _ in range(rng.randrange(40)))) for i in range(80)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    for n in (1, 3, 7):
+        assert same_cut(passages.cut_passages(rows, n).collect(), docs, n)
+
+
+def test_passages_of_edge_cases(spark, edge):
+    found = passages.cut_passages(edge).collect()
+    assert len(found) == len(EDGE) and {r.text for r in found if r.doc_id is None} == {None, f"no id\n{PASSAGE}"}
+    assert [r.text for r in found if r.doc_id == 7] == ["Different start\nother end"] * 2
+    assert passages.cut_passages(edge.limit(0)).count() == 0

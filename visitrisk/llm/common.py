@@ -120,11 +120,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of a block of texts: byte ranges, 64-bit hashes and the number of the text each is in."""
+    """The words of a block of texts: byte ranges, 64-bit hashes and the number of the text each is in.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
-        self.low, n = LOWER[data], len(data)
-        inside = WORD_BYTE[self.low]
+    ``low`` maps each byte to the one it is compared by, ``inside`` tells which of these are part of a word.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, low: np.ndarray = LOWER, inside: np.ndarray = WORD_BYTE) -> None:
+        self.low, n = low[data], len(data)
+        inside = inside[self.low]
         before, after = np.zeros(n, bool), np.zeros(n, bool)
         before[1:], after[:-1] = inside[:-1], inside[1:]
         first, last = offsets[:-1], offsets[1:] - 1
