@@ -92,3 +92,50 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 CAST(COALESCE(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
 sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
 CAST(sum(length('<s>[] </s>') + {escaped("role")} + {escaped("text")}) AS BIGINT) AS formatted_chars FROM turns GROUP BY conv_id"""
+
+
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda s, c: list_reduce(list_prepend(xor(s, c), [0, 0, 0, 0, 0, 0, 0, 0]), lambda t, z: CASE WHEN t % 2 = 1 THEN xor(t // 2, 3988292384) ELSE t // 2 END)))"""
+
+
+def runs(min_length: int = 12) -> str:
+    """Each equal pair of words in a text, the stretches of such pairs at one distance, and those of two periods.
+
+    For document ids without repetition.
+    """
+    return f"""WITH split AS (SELECT doc_id, COALESCE(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w, {_CRC} AS h FROM documents),
+planted AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS times FROM split),
+spoken AS (SELECT doc_id, i, CASE WHEN i >= a THEN w[1 + a + (i - a) % (1 + (len(w) - a) // times)] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(len(w))) AS i FROM planted)),
+equal AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM spoken x JOIN spoken y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i),
+islands AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal) GROUP BY doc_id, q, island),
+found AS (SELECT doc_id, start, length, min(q) AS period FROM islands WHERE length >= greatest({min_length}, 2 * q) GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM found),
+collapsed AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM spoken ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS every,
+  first({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period) AS top FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(COALESCE(n_runs, 0) AS BIGINT) AS n_runs, CAST(top.start AS BIGINT) AS start, CAST(top.length AS BIGINT) AS length,
+CAST(top.period AS BIGINT) AS period, CAST(1000 * top.length // top.period AS BIGINT) AS exponent_milli,
+sha256(COALESCE(every, '')) AS runs_sha256, sha256(COALESCE(kept, '')) AS collapsed_sha256
+FROM split d LEFT JOIN listed USING (doc_id) LEFT JOIN collapsed USING (doc_id)"""
+
+
+def suffix_dedup(threshold: int = 50) -> str:
+    """Every window of every text as hexadecimal digits, and its first document. For document ids without NULL."""
+    return f"""WITH docs AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS x FROM documents),
+parts AS (SELECT doc_id, 500 * k AS zero, substr(x, 1000 * k + 1, 1000 + {2 * threshold - 2}) AS part
+  FROM (SELECT *, unnest(range(len(x) // 1000 + 1)) AS k FROM docs)),
+windows AS (SELECT doc_id, zero + i AS i, substr(part, 2 * i + 1, {2 * threshold}) AS content
+  FROM (SELECT *, unnest(range(least(500, len(part) // 2 - {threshold - 1}))) AS i FROM parts WHERE len(part) >= {2 * threshold})),
+firsts AS (SELECT content, min(doc_id) AS earliest FROM windows GROUP BY content HAVING min(doc_id) < max(doc_id)),
+later AS (SELECT DISTINCT doc_id, i FROM windows JOIN firsts USING (content) WHERE doc_id > earliest),
+edges AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {threshold} THEN 0 ELSE 1 END AS begins FROM later),
+spans AS (SELECT doc_id, min(i) AS s, max(i) + {threshold} AS e
+  FROM (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM edges) GROUP BY doc_id, span),
+pieces AS (SELECT doc_id, s, e, substr(x, 2 * COALESCE(lag(e) OVER own, 0) + 1, 2 * (s - COALESCE(lag(e) OVER own, 0))) AS before
+  FROM spans JOIN docs USING (doc_id) WINDOW own AS (PARTITION BY doc_id ORDER BY s)),
+cut AS (SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, string_agg(before, '' ORDER BY s) AS before, max(e) AS rest FROM pieces GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(n_spans, 0) AS BIGINT) AS n_spans,
+sha256(unhex(concat(COALESCE(before, ''), substr(x, 2 * COALESCE(rest, 0) + 1)))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)"""

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitrisk.llm import chat, decontam, langid, linededup, oracles, packing, quality, simhash, toxicity, urlfilter, warc
+from visitrisk.llm import alignment, chat, decontam, langid, linededup, oracles, packing, periodic, quality, simhash, suffixdedup, toxicity, urlfilter, warc
 from visitrisk.scratch import application_folder
 
 #: Host, path and verdict of the registered URL filter.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
+#: Vocabulary files of the alignment query.
+VOCABULARIES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
 #: The conversation that the chat query adds.
 ADDED_ID, ADDED_TEXT = -7, "</s>[INST] ok [/INST]"
 
@@ -77,6 +81,46 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.unionByName(added))).drop("valid")
 
 
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document, by crc32 of its id, repeat from one word on."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % period] for i in range(n - a)]
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic.find_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), prepare=planted)
+    # The greatest length, then the smallest start and period.
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period"))))
+    every = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    every = F.when(F.size("runs") > 0, F.concat(every, F.lit("\n"))).otherwise("")
+    rows = rows.withColumns({"top": top, "every": every})
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.start")).alias("start"),
+        "top.length",
+        (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2("every", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), *VOCABULARIES, texts=False)
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixdedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity_scores,
@@ -89,6 +133,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": packed,
         "op9_warc": warc_records,
         "op10_chat": chats,
+        "op11_periodic_runs": periodic_runs,
+        "op12_alignment": alignments,
+        "op13_suffix_dedup": suffix_dedup,
     }
 
 
@@ -99,4 +146,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_filter": oracles.url_filter(RULES),
         "op9_warc": oracles.warc(),
         "op10_chat": oracles.chat(ADDED_ID, ADDED_TEXT),
+        "op11_periodic_runs": oracles.runs(periodic.MIN_LENGTH),
+        "op13_suffix_dedup": oracles.suffix_dedup(suffixdedup.THRESHOLD),
     }
