@@ -8,8 +8,10 @@ what is left after the last digit in groups of several documents is exactly the
   row is a *stretch* of up to ``STRETCH`` windows with one digit 1, not a window.
 * Digit 2 is all bytes of the stretch. Windows of equal stretches are equal, so an equal stretch in an earlier
   document settles all of them at once.
-* Digit 3 is the window itself, by 128 bits of hash, for the first of equal stretches where another stretch has the
-  same digit 1.
+* Digit 3 is the bytes that up to ``CORE`` windows next to each other have in common, cut at fixed distances from the
+  gram of digit 1, so that equal windows have equal ones. It is looked at for the first of equal stretches where another
+  stretch has the same digit 1, and finishes most windows around a place where near copies differ.
+* Digit 4 is the window itself, by 128 bits of hash.
 
 Each digit is one aggregation with partial results before its shuffle, so a string that very many documents share is
 reduced in the tasks, and the joins back have an exchange on each side, which adaptive execution can split.
@@ -24,21 +26,27 @@ at a time, apart from the last step, which needs about six times the bytes of a
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitrisk.llm.common import BLOCK_BYTES, BYTES, columns, extended, extended_batch, mixed, slices, stored, text_blocks
+from visitrisk.scratch import application_folder
+from visitrisk.sources.folders import remove
 
 THRESHOLD = 50
 #: Bytes of a gram whose least hash is digit 1.
 GRAM = 20
 #: Most windows in a stretch; one bit of a long for each.
 STRETCH = 62
+#: Most windows that digit 3 looks at together.
+CORE = 8
 
 _SIZE_BITS = 6
 _ALL = -1
@@ -52,7 +60,8 @@ RESULT = T.StructType(
         T.StructField("kept", T.BinaryType()),
     ]
 )
-WINDOWS = columns("digit long, span long, first long, number int, head long, tail long")
+CORES = columns("core long, doc long, at long, span long, windows long")
+WINDOWS = columns("head long, tail long, doc long, span long, number int")
 
 
 def _pieces(texts: pa.Array, threshold: int, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -132,80 +141,175 @@ def digits(docs: DataFrame, threshold: int, gram: int, spans: bool) -> DataFrame
     return _keyed(docs).mapInArrow(find, columns("digit long, doc long" + (", at long, span long" if spans else "")))
 
 
+def _lists(lists: pa.ListArray) -> tuple[list[int], dict[str, np.ndarray]]:
+    """Bounds of each row's list of structs, and the structs' fields for all rows; NULL is an empty list."""
+    counts = pa.compute.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+    flat = lists.flatten()
+    fields = {flat.type[i].name: x.to_numpy(zero_copy_only=False) for i, x in enumerate(flat.flatten())}
+    return np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).tolist(), fields
+
+
+def _own(texts: list[bytes], bounds: list[int], fields: dict[str, np.ndarray], threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which stretches are of their row's text, not of another with its id; begin and number of windows of all."""
+    begin, size = fields["at"] >> _SIZE_BITS, (fields["at"] & 63) + 1
+    ends, hashed = (begin + size - 1 + threshold).tolist(), xxhash.xxh3_64_intdigest
+    starts, spans = begin.tolist(), fields["span"].tolist()
+    fine = [
+        hashed(data[starts[i] : ends[i]]) - (1 << 63) == spans[i] for data, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True) for i in range(a, b)
+    ]
+    return np.array(fine, bool), begin, size
+
+
+def _asked(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """Texts with those rows of ``asked`` (doc, at, span, any more) that are of their document.
+
+    The lists are written, so that both sides of the join have an exchange of their own.
+    """
+    lists = asked.groupBy("doc").agg(F.collect_list(F.struct(*[c for c in asked.columns if c != "doc"])).alias("asked"))
+    lists = stored(lists.withColumnRenamed("doc", "__doc"), "asked")
+    return _keyed(docs).join(lists, F.col("doc") == F.col("__doc")).select("doc", "text", "asked")
+
+
+def _numbers(windows: np.ndarray, size: np.ndarray, fine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretch and number of the windows whose bits are set, of stretches that are ``fine``."""
+    of = np.repeat(np.arange(len(size)), np.where(fine, size, 0))
+    number = np.arange(len(of)) - np.searchsorted(of, of)
+    asked = (windows[of] >> number & 1).astype(bool)
+    return of[asked], number[asked]
+
+
+def _grams(data: bytes, begins: np.ndarray, threshold: int, gram: int) -> list[int]:
+    """Where the least gram of each window that begins at ``begins`` is, from there."""
+    up, down = BYTES.upto(threshold + 1)
+    values = _VALUES[np.frombuffer(data, np.uint8)[begins[:, None] + np.arange(threshold)]]
+    sums = np.zeros((len(begins), threshold + 1), np.uint64)
+    np.cumsum(values * up[:threshold], axis=1, out=sums[:, 1:])
+    return mixed((sums[:, gram:] - sums[:, : threshold - gram + 1]) * down[: threshold - gram + 1]).argmin(axis=1).tolist()
+
+
+def cores(docs: DataFrame, asked: DataFrame, threshold: int, gram: int) -> DataFrame:
+    """Digit 3 of the stretches ``asked`` (doc, at, span), with a bit for each window it is of.
+
+    A gram may be in a stretch several times; a window that holds two of them has a digit for each.
+    """
+    room = threshold - gram
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = xxhash.xxh3_64_intdigest
+        for batch in (part for whole in batches for part in slices(whole)):
+            texts = [(text or "").encode() for text in batch.column("text").to_pylist()]
+            bounds, fields = _lists(batch.column("asked"))
+            fine, begins, sizes = _own(texts, bounds, fields, threshold)
+            of, number, bits, content = [], [], [], []
+            for data, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+                own = a + np.flatnonzero(fine[a:b])
+                places = _grams(data, begins[own], threshold, gram) if len(own) else []
+                for i, begin, size, place in zip(own.tolist(), begins[own].tolist(), sizes[own].tolist(), places, strict=True):
+                    whole = data[begin : begin + size - 1 + threshold]
+                    least = whole[place : place + gram]
+                    while 0 <= place <= size - 1 + room:
+                        # Windows that begin up to ``room`` bytes before the gram hold it.
+                        for low in range(max(0, place - size + 1) // CORE * CORE, min(place, room) + 1, CORE):
+                            last, first = place - low, place - min(low + CORE - 1, room)
+                            of.append(i)
+                            number.append(max(first, 0))
+                            bits.append(min(last, size - 1) - max(first, 0) + 1)
+                            content.append(hashed(whole[last : first + threshold]) - (1 << 63))
+                        place = whole.find(least, place + 1)
+            of = np.array(of, np.int64)
+            doc = np.repeat(batch.column("doc").to_numpy(), np.diff(bounds))
+            windows = ((np.int64(1) << np.array(bits, np.int64)) - 1) << np.array(number, np.int64)
+            parts = [np.array(content, np.int64), doc[of], fields["at"][of], fields["span"][of], windows]
+            yield pa.record_batch([pa.array(x) for x in parts], names=CORES.names)
+
+    return _asked(docs, asked).mapInArrow(cut, CORES)
+
+
 def windows(docs: DataFrame, asked: DataFrame, threshold: int) -> DataFrame:
-    """Digit 3 of every window of ``asked`` (doc, stretches of at, digit and span)."""
+    """Digit 4 of the windows of ``asked`` (doc, at, span, windows)."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            for doc, text, own in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), batch.column("asked").to_pylist(), strict=True):
-                data, rows, content = (text or "").encode(), [], []
-                for r in own:
-                    begin, size = r["at"] >> _SIZE_BITS, (r["at"] & 63) + 1
-                    if _span(data, begin, size, threshold) != r["span"]:  # of another text with this id
-                        continue
-                    rows += [(r["digit"], r["span"], k) for k in range(size)]
-                    content += [xxhash.xxh3_128_digest(data[k : k + threshold]) for k in range(begin, begin + size)]
-                digit, span, number = np.array(rows, np.int64).reshape(-1, 3).T
-                head, tail = np.frombuffer(b"".join(content), np.int64).reshape(-1, 2).T
-                parts = [digit, span, np.full(len(rows), doc, np.int64), number.astype(np.int32), head, tail]
-                yield pa.record_batch([pa.array(np.ascontiguousarray(x)) for x in parts], names=WINDOWS.names)
-
-    rows = _keyed(docs).join(asked, "doc").select("doc", "text", "asked")
-    return rows.mapInArrow(cut, WINDOWS)
+            texts = [(text or "").encode() for text in batch.column("text").to_pylist()]
+            bounds, fields = _lists(batch.column("asked"))
+            fine, begin, size = _own(texts, bounds, fields, threshold)
+            of, number = _numbers(fields["windows"], size, fine)
+            row = np.repeat(np.arange(len(texts)), np.diff(bounds))[of]
+            places = (begin[of] + number).tolist()
+            content = b"".join([xxhash.xxh3_128_digest(texts[r][k : k + threshold]) for r, k in zip(row.tolist(), places, strict=True)])
+            head, tail = np.frombuffer(content, np.int64).reshape(-1, 2).T
+            parts = [head, tail, batch.column("doc").to_numpy()[row], fields["span"][of], number.astype(np.int32)]
+            yield pa.record_batch([pa.array(np.ascontiguousarray(x)) for x in parts], names=WINDOWS.names)
+
+    return _asked(docs, asked).mapInArrow(cut, WINDOWS)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written and read back. Shuffle files of the work go at its end, so that those of one digit are there at a time."""
+    session, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = session.conf.get(setting, "false")
+    session.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        session.conf.set(setting, before)
+    return session.read.schema(df.schema).parquet(path)
+
+
+def _several(rows: DataFrame, *key: str) -> DataFrame:
+    """The keys that several documents have, with the least document."""
+    found = rows.groupBy(*key).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    return found.filter("least < most").select(*key, "least")
 
 
 def repeated(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
     """doc, at and span of the stretches with windows that an earlier document has, and ``windows``, a bit for each."""
-    gram = min(gram, threshold)
-    several = F.col("least") < F.col("most")
-    shared = digits(docs, threshold, gram, spans=False).groupBy("digit").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    shared = stored(shared.filter(several).select("digit"), "digits")
-    found = stored(digits(docs, threshold, gram, spans=True).join(shared, "digit", "left_semi"), "stretches")
+    gram = max(min(gram, threshold // 2), threshold - STRETCH, 1)
+    work = f"{application_folder(docs.sparkSession, 'llm')}/suffixes-{uuid4().hex}"
+    shared = _written(_several(digits(docs, threshold, gram, spans=False), "digit").select("digit"), f"{work}/digits")
+    found = _written(digits(docs, threshold, gram, spans=True).join(shared, "digit", "left_semi"), f"{work}/stretches")
     spans = found.groupBy("digit", "span").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
-    spans = stored(spans.select("digit", "span", F.col("first.doc").alias("first"), "first.at", "last"), "spans")
+    spans = _written(spans.select("digit", "span", F.col("first.doc").alias("doc"), "first.at", "last"), f"{work}/spans")
 
-    again = spans.filter("last > first").select("digit", "span", "first")
-    whole = found.join(again, ["digit", "span"]).filter("doc > first").select("doc", "at", "span", F.lit(_ALL).cast("long").alias("windows"))
+    again = spans.filter("last > doc").select("digit", "span", F.col("doc").alias("least"))
+    whole = found.join(again, ["digit", "span"]).filter("doc > least").select("doc", "at", "span", F.lit(_ALL).cast("long").alias("windows"))
 
-    open_digits = spans.groupBy("digit").agg(F.min("first").alias("least"), F.max("first").alias("most")).filter(several).select("digit")
-    asked = spans.join(open_digits, "digit", "left_semi").select(F.col("first").alias("doc"), F.struct("at", "digit", "span").alias("one"))
-    asked = stored(asked.groupBy("doc").agg(F.collect_list("one").alias("asked")), "asked")
-    alone = stored(windows(docs, asked, threshold), "windows")
-    firsts = alone.groupBy("head", "tail").agg(F.min("first").alias("least"), F.max("first").alias("most")).filter(several)
-    firsts = stored(firsts.select("head", "tail", "least"), "firsts")
-    bits = alone.join(firsts, ["head", "tail"]).filter("first > least")
-    bits = bits.groupBy("digit", "span", "first").agg(F.bit_or(F.expr("shiftleft(1L, number)")).alias("windows"))
-    part = found.withColumnRenamed("doc", "first").join(stored(bits, "bits"), ["digit", "span", "first"])
-    return whole.unionByName(part.select(F.col("first").alias("doc"), "at", "span", "windows"))
+    asked = _written(spans.join(_several(spans, "digit"), "digit", "left_semi").select("doc", "at", "span"), f"{work}/asked")
+    parts = _written(cores(docs, asked, threshold, gram), f"{work}/cores")
+    parts = parts.join(_several(parts, "core").select("core"), "core", "left_semi")
+    asked = _written(parts.groupBy("doc", "at", "span").agg(F.bit_or("windows").alias("windows")), f"{work}/open")
+    alone = _written(windows(docs, asked, threshold), f"{work}/windows")
+    later = alone.join(_several(alone, "head", "tail"), ["head", "tail"]).filter("doc > least")
+    bits = _written(later.groupBy("doc", "span").agg(F.bit_or(F.expr("shiftleft(1L, number)")).alias("windows")), f"{work}/bits")
+    for done in ("digits", "asked", "cores", "open", "windows"):
+        remove(docs.sparkSession, f"{work}/{done}")
+    part = found.join(bits, ["doc", "span"]).select("doc", "at", "span", "windows")
+    return whole.unionByName(part)
 
 
 def dedup(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
     """``docs`` (doc_id, text, any more) with RESULT: bytes, removed bytes, maximal removed spans, and the bytes kept.
 
-    Reads ``docs`` four times; pass stored rows.
+    Reads ``docs`` five times; pass stored rows.
     """
     found = repeated(docs, threshold, gram).groupBy("doc").agg(F.collect_list(F.struct("at", "span", "windows")).alias("__found"))
     found = stored(found, "repeated").withColumnRenamed("doc", "__doc")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            texts, kept, n_bytes, spans = batch.column("text").to_pylist(), [], [], []
-            for text, own in zip(texts, batch.column("__found").to_pylist(), strict=True):
-                data = (text or "").encode()
-                spans.append(removed(data, own or [], threshold))
-                edges = [0, *(x for s in spans[-1] for x in s), len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-                n_bytes.append(len(data))
-            flat = np.array([s for own in spans for s in own], np.int64).reshape(-1, 2)
-            counts = np.array([len(own) for own in spans], np.int64)
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            sizes = pa.array(flat[:, 1] - flat[:, 0])
+            texts = [(text or "").encode() for text in batch.column("text").to_pylist()]
+            begin, end, first = removed(texts, *_lists(batch.column("__found")), threshold)
+            kept = []
+            for data, a, b in zip(texts, first[:-1].tolist(), first[1:].tolist(), strict=True):
+                edges = [0, *np.stack([begin[a:b], end[a:b]], axis=1).ravel().tolist(), len(data)]
+                kept.append(data if a == b else b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)))
+            n_bytes = np.array([len(data) for data in texts], np.int64)
             yield extended_batch(
                 batch.drop_columns(["__found"]),
-                n_bytes=pa.array(n_bytes, pa.int64()),
-                n_removed=pa.array(np.array(n_bytes, np.int64) - [len(x) for x in kept], pa.int64()),
-                n_spans=pa.array(counts),
-                spans=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, 0])), sizes], names=["start", "length"])),
+                n_bytes=pa.array(n_bytes),
+                n_removed=pa.array(n_bytes - np.array([len(x) for x in kept], np.int64)),
+                n_spans=pa.array(np.diff(first)),
+                spans=pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.StructArray.from_arrays([pa.array(begin), pa.array(end - begin)], names=["start", "length"])),
                 kept=pa.array(kept, pa.binary()),
             )
 
@@ -215,21 +319,21 @@ def dedup(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> Data
     return rows.mapInArrow(cut, extended(docs.schema, *RESULT))
 
 
-def removed(data: bytes, found: list[dict], threshold: int) -> list[tuple[int, int]]:
-    """Maximal spans (begin, end) that the repeated windows of ``found`` cover; stretches of another text are left out."""
-    covered: list[tuple[int, int]] = []
-    for r in found:
-        begin, size = r["at"] >> _SIZE_BITS, (r["at"] & 63) + 1
-        if _span(data, begin, size, threshold) != r["span"]:
-            continue
-        if r["windows"] == _ALL:
-            covered.append((begin, begin + size - 1 + threshold))
-        else:
-            covered += [(begin + k, begin + k + threshold) for k in range(size) if r["windows"] >> k & 1]
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(covered):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def removed(texts: list[bytes], bounds: list[int], fields: dict[str, np.ndarray], threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of the maximal spans that repeated windows cover, and the first span of each text."""
+    fine, begin, size = _own(texts, bounds, fields, threshold)
+    zero = np.concatenate([[0], np.cumsum([len(data) + 1 for data in texts])]).astype(np.int64)  # a byte between texts
+    at = np.repeat(zero[:-1], np.diff(bounds)) + begin
+    every = fields["windows"] == _ALL
+    of, number = _numbers(fields["windows"], size, fine & ~every)
+    marks = np.zeros(zero[-1] + 1, np.int32)
+    np.add.at(marks, np.concatenate([at[fine & every], at[of] + number]), 1)
+    np.add.at(marks, np.concatenate([(at + size - 1)[fine & every], at[of] + number]) + threshold, -1)
+    gone = np.cumsum(marks) > 0
+    edges = np.flatnonzero(gone[1:] != gone[:-1]) + 1
+    if len(gone) and gone[0]:
+        edges = np.concatenate([[0], edges])
+    starts, ends = edges[::2], edges[1::2]
+    first = np.searchsorted(starts, zero)
+    own = np.repeat(zero[:-1], np.diff(first))
+    return starts - own, ends - own, first
