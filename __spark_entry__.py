@@ -265,8 +265,11 @@ def matrix(spark, sf_dir):
 # --- model --------------------------------------------------------------------------------------
 
 # All 1,400 rounds may be used; the patience rule ends the run.
-PATIENT = boost.BoostParams(patience=3, first_try=6)
-ONE_ROUND = boost.BoostParams(rounds=1, row_share=1.0, column_share=1.0)
+PATIENT = boost.BoostParams(patience=3, leaf_penalty=0.0)
+# Eight rounds, all else as in a training run.
+SHORT = boost.BoostParams(rounds=8)
+PENALISED = boost.BoostParams(rounds=3, step=0.5, row_share=1.0, column_share=1.0)
+ONE_ROUND = boost.BoostParams(rounds=1, row_share=1.0, column_share=1.0, leaf_penalty=0.0)
 FLAGS = replace(VISITS, categorical=(), numeric=())
 
 
@@ -276,6 +279,13 @@ def _learnable(spark, sf_dir):
     return _visits(spark, sf_dir).withColumn(VISITS.target, F.lit(20.0) * mobile + F.lit(5.0) * proxy)
 
 
+def _mixed(spark, sf_dir):
+    """Visits whose target, 0 to 25, depends on a flag, a category and a number."""
+    mobile, clicked = (F.coalesce(c, F.lit(False)).cast("int") for c in (F.col("is_mobile"), F.col("visitor_type") == "click"))
+    many = F.least(F.coalesce("visit_count", F.lit(0)), F.lit(100)) / 20
+    return _visits(spark, sf_dir).withColumn(VISITS.target, F.lit(10.0) * mobile + F.lit(10.0) * clicked + many)
+
+
 def _model_paths(spark, sf_dir, name):
     base = _folder(spark, sf_dir, name)
     return base, {"models": f"{base}/models", "versions": f"{base}/versions"}
@@ -290,17 +300,13 @@ def _trained(spark, sf_dir, name, visits, spec, params):
 
 
 def gbt_scores(spark, sf_dir):
-    """Facts of a scoring with all features: rows, ids, NULLs, and whether the model beats the mean on validation rows."""
-    visits = _learnable(spark, sf_dir)
-    trained, pipeline, codes, rows = _trained(spark, sf_dir, "gbt", visits, VISITS, PATIENT)
+    """Each visit of the day with a score of all features inside the target's range, and whether the model explains more
+    than a third of the validation rows' variance."""
+    visits = _mixed(spark, sf_dir)
+    trained, pipeline, codes, _ = _trained(spark, sf_dir, "gbt", visits, VISITS, SHORT)
     scored = boost.score(ext.scoring_extract(visits, VISITS, AS_OF), VISITS, pipeline, codes)
-    spread = rows.filter(F.col(SPLIT) == TEST).agg(F.stddev_pop(VISITS.target)).first()[0]
-    rmse = next(r["rmse"] for r in trained.metrics.collect() if r["dataset"] == boost.VALIDATION)
-    return scored.agg(
-        F.count("*").alias("scored"),
-        F.count_distinct(VISITS.id).alias("ids"),
-        F.count_if(F.col("prediction").isNull()).alias("empty"),
-    ).withColumn("beats_mean", F.lit(bool(rmse < spread)))
+    r2 = next(r["r2"] for r in trained.metrics.collect() if r["dataset"] == boost.VALIDATION)
+    return scored.select(VISITS.id, F.col("prediction").between(-1, 26).alias("in_range"), F.lit(bool(r2 > 1 / 3)).alias("explains"))
 
 
 def flag_scores(spark, sf_dir):
@@ -316,8 +322,17 @@ def flag_metrics(spark, sf_dir):
     return trained.metrics.select("dataset", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
 
 
+def penalised_rounds(spark, sf_dir):
+    """Three unsampled rounds on the flags, whose leaves are the flags' combinations, with a leaf penalty of 1."""
+    visits = _visits(spark, sf_dir)
+    _, pipeline, codes, _ = _trained(spark, sf_dir, "penalised", visits, FLAGS, PENALISED)
+    scored = boost.score(ext.scoring_extract(visits, FLAGS, AS_OF), FLAGS, pipeline, codes)
+    return scored.select(VISITS.id, F.round("prediction", 6).alias("prediction"))
+
+
 def early_stopping(spark, sf_dir):
-    """The flags explain the target, so no round after the first helps, and the patience rule ends the run."""
+    """The flags explain the target, so no round after the first helps, and the patience rule ends the run: one round
+    and the patience are fitted."""
     whole = replace(PATIENT, row_share=1.0, column_share=1.0)
     trained, pipeline, _, rows = _trained(spark, sf_dir, "early", _learnable(spark, sf_dir), FLAGS, whole)
     facts = {
@@ -340,10 +355,10 @@ def stored_order(spark, sf_dir):
 
 def daily_run(spark, sf_dir):
     """Train, score and load as the three jobs do; facts of the loaded table."""
-    visits = _learnable(spark, sf_dir)
+    visits = _mixed(spark, sf_dir)
     base, paths = _model_paths(spark, sf_dir, "daily")
     train.run_training(
-        visits, VISITS, AS_OF, "model-20240131", f"{base}/training", params=PATIENT, trained_at=SCORED_AT, **paths
+        visits, VISITS, AS_OF, "model-20240131", f"{base}/training", params=SHORT, trained_at=SCORED_AT, **paths
     )
     version = score.run_scoring(
         visits, VISITS, AS_OF, f"{base}/scoring", predictions=f"{base}/predictions", **paths
@@ -375,6 +390,50 @@ def empty_day_run(spark, sf_dir):
     return visits.agg(F.count("*").alias("visits")).select("*", *[F.lit(v).alias(n) for n, v in facts.items()])
 
 
+def empty_day_with_others(spark, sf_dir):
+    """A day loaded by a run and from elsewhere, then found empty: the scores from elsewhere stay."""
+    base = _folder(spark, sf_dir, "others")
+    extract = _scoring(spark, sf_dir)
+    writers.write_ids_csv(extract, VISITS, f"{base}/ids")
+    writers.write_predictions_csv(_scored(extract), f"{base}/elsewhere")
+    _scored(extract).write.mode("overwrite").parquet(f"{base}/predictions/score_date=2024-01-30")
+    load.load_scores(spark, VISITS, AS_OF, "own", f"{base}/predictions", f"{base}/scores", SCORED_AT)
+    load.load_external_scores(spark, VISITS, AS_OF, "v1", f"{base}/ids", f"{base}/elsewhere", f"{base}/scores", SCORED_AT)
+    load.load_scores(spark, VISITS, AS_OF, None, f"{base}/predictions", f"{base}/scores", SCORED_AT)
+    return _stored(spark, f"{base}/scores")
+
+
+def odd_names(spark, sf_dir):
+    """Ids and scores handed over in folders with blanks, a percent sign, a plus and an accent in their names."""
+    base = f"{_folder(spark, sf_dir, 'odd')}/a b/50% c+d é%20"
+    extract = _scoring(spark, sf_dir)
+    writers.write_ids_csv(extract, VISITS, f"{base}/ids")
+    writers.write_predictions_csv(_scored(extract), f"{base}/predictions")
+    load.load_external_scores(spark, VISITS, AS_OF, "v1", f"{base}/ids", f"{base}/predictions", f"{base}/scores", SCORED_AT)
+    ids = readers.read_folder(spark, f"{base}/ids", "visit_id bigint").select(F.col("visit_id").cast("string").alias("VISIT_ID"))
+    return _stored(spark, f"{base}/scores").join(ids, "VISIT_ID", "left_semi")
+
+
+def _written_history(spark, sf_dir, name):
+    """The score history as a score table: partitioned by day and version, sorted, with a bloom filter on the id."""
+    folder = _folder(spark, sf_dir, name)
+    sc.replace_scores(_history(spark, sf_dir), VISITS, folder)
+    return sc.read_score_table(spark, VISITS, folder)
+
+
+def stored_scores_by_visit(spark, sf_dir):
+    return _day_as_text(reports.scores_of(_written_history(spark, sf_dir, "by_visit"), VISITS, "17"), "SCORE_DATE")
+
+
+def stored_daily_report(spark, sf_dir):
+    """The daily averages, and the scores of a day's visits joined back, both from the written table."""
+    scores = _written_history(spark, sf_dir, "report")
+    days_ = reports.daily_average(scores).select("SCORE_DATE", F.round("avg_score", 6).alias("avg_score"), "num_scored")
+    visits = ext.clean_for_scoring(_visits(spark, sf_dir), VISITS, keep=[VISITS.event_time])
+    joined = sc.join_back(visits, scores, VISITS).groupBy(F.to_date(VISITS.event_time).alias("SCORE_DATE")).agg(F.count(sc.SCORE).alias("joined"))
+    return _day_as_text(days_.join(joined, "SCORE_DATE"), "SCORE_DATE")
+
+
 def scored_files(spark, sf_dir):
     """Features with their id as CSV, scored, returned as ``id,prediction``, loaded as scores made elsewhere."""
     visits = _visits(spark, sf_dir)
@@ -771,6 +830,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q58_empty_day_run": empty_day_run,
         "q59_pairing_counts": pairing_counts,
         "q60_stored_order": stored_order,
+        "q61_penalised_rounds": penalised_rounds,
+        "q62_empty_day_with_others": empty_day_with_others,
+        "q63_odd_names": odd_names,
+        "q64_stored_scores_by_visit": stored_scores_by_visit,
+        "q65_stored_daily_report": stored_daily_report,
         **training_text,
     }
 
@@ -941,8 +1005,7 @@ CROSS JOIN (VALUES ('model-a', TIMESTAMP '2024-01-16 02:00:00'), ('model-b', TIM
 AS v(model_version, trained_at)""",
         "q47_ordinal_transform_broadcast": transformed,
         "q45_expired_folders": f"{head} {due('inference', 'expire', '2024-02-20', 30)}",
-        "q23_gbt_scores": f"""{head} SELECT count(*) AS scored, count(DISTINCT visit_id) AS ids, CAST(0 AS BIGINT) AS empty,
-TRUE AS beats_mean FROM scoring""",
+        "q23_gbt_scores": f"{head} SELECT visit_id, TRUE AS in_range, TRUE AS explains FROM scoring",
         "q46_daily_run": f"""{head} SELECT '2024-01-30' AS SCORE_DATE, 'model-20240131' AS MODEL_VERSION, count(*) AS scored,
 count(DISTINCT visit_id) AS ids, count(*) AS in_range FROM scoring""",
         "q48_raw_categories": f"""{head}, m AS (SELECT value, ROW_NUMBER() OVER (ORDER BY value) - 1 AS code
@@ -962,7 +1025,7 @@ FROM clean CROSS JOIN (VALUES ('parquet'), ('csv')) AS f(format)""",
         "q54_flag_metrics": f"""{head}, by_flags AS ({by_flags}) SELECT dataset, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(r2, 6) AS r2
 FROM (SELECT CASE data_split WHEN 'TRAIN' THEN 'TRAIN' ELSE 'VALIDATION' END AS dataset, {errors}
   FROM (SELECT data_split, fraud_score AS y, p FROM training JOIN by_flags USING ({flags})) GROUP BY data_split)""",
-        "q55_early_stopping": f"""{head} SELECT count(*) AS records, 1 AS kept, 6 AS tried, 0e0 AS best_error
+        "q55_early_stopping": f"""{head} SELECT count(*) AS records, 1 AS kept, 4 AS tried, 0e0 AS best_error
 FROM visits WHERE created_at >= DATE '2024-01-31' - INTERVAL 15 DAY""",
         "q56_scored_files": f"""SELECT CAST(visit_id AS VARCHAR) AS VISIT_ID, round(CAST(CAST(prediction AS FLOAT) AS DOUBLE), 3) AS PREDICTED_FRAUD_SCORE,
 'm' AS MODEL_VERSION, '2024-01-30' AS SCORE_DATE FROM ({flagged})""",
@@ -975,5 +1038,14 @@ count(*) FILTER (one IN (3, 4)) AS without_id, count(*) FILTER (one = 6) AS conf
 FROM (SELECT visit_id % 10 AS one FROM clean)""",
         "q60_stored_order": f"""SELECT round(CAST(sum(CAST({' + '.join(f'{i + 1} * {c}' for i, c in enumerate(list(VISITS.model_features)[::-1]))} AS DECIMAL(30, 6))) AS DOUBLE), 2) AS total,
 count(*) AS records FROM ({encoded_training})""",
+        "q61_penalised_rounds": f"""{head}, cells AS (SELECT {flags}, sum(fraud_score) AS s, count(*) AS n FROM train_side GROUP BY {flags}),
+one AS (SELECT *, s / (n + 1) AS f1 FROM cells), two AS (SELECT *, f1 + 0.5 * (s - n * f1) / (n + 1) AS f2 FROM one),
+three AS (SELECT *, f2 + 0.5 * (s - n * f2) / (n + 1) AS f3 FROM two)
+SELECT visit_id, round(f3, 6) AS prediction FROM clean JOIN three USING ({flags}) WHERE CAST(created_at AS DATE) = DATE '2024-01-30'""",
+        "q62_empty_day_with_others": f"{head} {stored('v1')}",
+        "q63_odd_names": f"{head} {stored('v1')}",
+        "q64_stored_scores_by_visit": f"{head} SELECT {history} FROM history WHERE VISIT_ID = '17' ORDER BY SCORED_AT DESC",
+        "q65_stored_daily_report": f"""{head} SELECT CAST(SCORE_DATE AS VARCHAR) AS SCORE_DATE, round(avg(CAST(PREDICTED_FRAUD_SCORE AS DOUBLE)), 6) AS avg_score,
+count(*) AS num_scored, count(DISTINCT (VISIT_ID, MODEL_VERSION)) AS joined FROM history GROUP BY SCORE_DATE""",
         **training_text,
     }

@@ -10,7 +10,7 @@ from visitrisk.operators.matrix import FEATURES, assembler, feature_matrix
 from visitrisk.spec import FeatureSpec
 
 SPEC = FeatureSpec(("b",), ("c",), ("n",), target="label", id="id", event_time="at")
-PARAMS = boost.BoostParams(rounds=6, first_try=6, max_depth=3, step=0.3)
+PARAMS = boost.BoostParams(rounds=6, max_depth=3, step=0.3)
 
 
 def learnable(spark, rows=1200):
@@ -74,21 +74,43 @@ def test_same_rows_and_seed_give_the_same_model(spark, trained):
 
 
 def test_fewer_rounds_are_a_prefix(spark, trained):
-    rows = assembler(SPEC.model_features).transform(learnable(spark)).select(FEATURES, "label", "data_split")
-    short = boost._regressor(PARAMS, 2).fit(rows.filter("data_split = 'TRAIN'"))
+    short = boost.train(learnable(spark), SPEC.model_features, replace(PARAMS, rounds=2)).pipeline.stages[1]
     long = trained.pipeline.stages[1]
     assert [t.toDebugString.split("\n")[1:] for t in short.trees] == [
         t.toDebugString.split("\n")[1:] for t in long.trees[:2]
     ]
+    assert list(long.treeWeights) == [1.0] + [0.3] * 5
 
 
-def test_stops_early_and_keeps_the_best_rounds(spark):
+@pytest.mark.parametrize("patience", [2, 4])
+def test_stops_early_and_fits_no_more_than_the_patience_after_the_best_round(spark, patience):
     noise = learnable(spark, 400).withColumn("label", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) * 1.0)
-    params = replace(PARAMS, rounds=40, first_try=4, patience=3, step=1.0)
-    trained = boost.train(noise, SPEC.model_features, params)
-    keep, stopped = boost.rounds_to_keep(trained.validation_errors, params.patience)
-    assert stopped and len(trained.validation_errors) < 40
-    assert trained.pipeline.stages[1].getNumTrees == keep
+    trained = boost.train(noise, SPEC.model_features, replace(PARAMS, rounds=40, patience=patience, step=1.0))
+    best = trained.validation_errors.index(min(trained.validation_errors)) + 1
+    assert len(trained.validation_errors) == len(trained.training_errors) == best + patience < 40
+    assert trained.pipeline.stages[1].getNumTrees == best
+    measured = {r["dataset"]: r["rmse"] for r in trained.metrics.collect()}
+    assert measured["VALIDATION"] == pytest.approx(min(trained.validation_errors) ** 0.5)
+    assert measured["TRAIN"] == pytest.approx(trained.training_errors[best - 1] ** 0.5)
+
+
+def test_a_tree_splits_on_its_drawn_columns_only(spark):
+    params = replace(PARAMS, column_share=0.34, rounds=6)
+    model = boost.train(learnable(spark), SPEC.model_features, params).pipeline.stages[1]
+    drawn = [boost.drawn_columns(3, params, i) for i in range(6)]
+    used = [{int(x.split(" ")[0]) for x in t.toDebugString.split("feature ")[1:]} for t in model.trees]
+    assert all(u <= set(d) for u, d in zip(used, drawn)) and len({tuple(d) for d in drawn}) > 1
+    assert any(used)
+
+
+@pytest.mark.parametrize("penalty", [0.0, 1.0, 50.0])
+def test_leaves_are_shrunk_by_the_penalty(spark, penalty):
+    params = replace(PARAMS, rounds=1, max_depth=1, row_share=1.0, column_share=1.0, leaf_penalty=penalty)
+    rows = learnable(spark)
+    trained = boost.train(rows, SPEC.model_features, params)
+    expected = {r["b"]: r["s"] / (r["n"] + penalty) for r in rows.filter("data_split = 'TRAIN'").groupBy("b").agg(F.sum("label").alias("s"), F.count("*").alias("n")).collect()}
+    for r in trained.pipeline.transform(rows).groupBy("b").agg(F.min("prediction").alias("low"), F.max("prediction").alias("high")).collect():
+        assert r["low"] == r["high"] == pytest.approx(expected[r["b"]])
 
 
 def test_scores_keep_ids_and_stored_order(spark, trained):

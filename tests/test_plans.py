@@ -19,7 +19,7 @@ from visitrisk.sources import readers
 from visitrisk.spec import VISIT_SPEC
 
 AS_OF, SPEC = contract.AS_OF, contract.VISITS
-PARAMS = BoostParams(rounds=2, first_try=2, max_depth=2)
+PARAMS = BoostParams(rounds=2, max_depth=2)
 
 
 @pytest.fixture(scope="module")

@@ -175,3 +175,119 @@ def test_append_leaves_other_partitions_alone(spark, tmp_path):
     other = next((tmp_path / "t" / "SCORE_DATE=2024-01-30" / "MODEL_VERSION=v1").glob("*.parquet"))
     sc.append_scores(rows(spark, [(1, 2.0)], "v2"), sc.read_score_table(spark, SPEC, path), SPEC, path)
     assert other.exists() and sc.read_score_table(spark, SPEC, path).count() == 2
+
+
+def files_and_rows(df):
+    """Files and rows that the scan of a table read, by its metrics."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    found, nodes = {}, [plan]
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName().startswith("FileSourceScan"):
+            metrics = node.metrics()
+            found = {name: metrics.apply(name).value() for name in ("numFiles", "numOutputRows", "numPartitions") if metrics.contains(name)}
+        below = node.children()
+        nodes += [below.apply(i) for i in range(below.size())]
+        if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName():
+            nodes.append(node.plan())
+    return found
+
+
+def test_a_day_reads_its_partition_only(spark, tmp_path):
+    path = str(tmp_path)
+    for day in (28, 29, 30, 31):
+        scored = spark.range(100).selectExpr("id AS visit_id", "1.0D AS prediction")
+        for version in ("v1", "v2"):
+            sc.replace_scores(sc.score_rows(scored.coalesce(1), SPEC, date(2024, 1, day), version, scored_at=AT), SPEC, path)
+    table = sc.read_score_table(spark, SPEC, path)
+    assert files_and_rows(table)["numFiles"] == 8
+    read = files_and_rows(reports.scores_on(table, date(2024, 1, 29)))
+    assert (read["numFiles"], read["numPartitions"], read["numOutputRows"]) == (2, 2, 200)
+
+
+def test_scores_of_a_day_joined_back_read_its_partition_only(spark, tmp_path):
+    """The filter on the day reaches the scan through the aggregation and the join."""
+    path = str(tmp_path)
+    for day in (28, 29, 30, 31):
+        scored = spark.range(100).selectExpr("id AS visit_id", "1.0D AS prediction").coalesce(1)
+        sc.replace_scores(sc.score_rows(scored, SPEC, date(2024, 1, day), "v1", scored_at=AT), SPEC, path)
+    visits = spark.range(50).select(F.col("id").alias("visit_id"), F.lit("2024-01-27 05:00:00").cast("timestamp_ntz").alias("created_at"))
+    table = reports.scores_on(sc.read_score_table(spark, SPEC, path), date(2024, 1, 27))
+    joined = sc.join_back(visits, table, SPEC)
+    assert files_and_rows(joined)["numFiles"] == 1
+    assert joined.filter("MODEL_VERSION = 'v1'").count() == 50
+
+
+def test_a_visit_is_found_without_reading_all_rows(spark, tmp_path):
+    """Ids are spread over the files by hash, so only their bloom filters can leave files out."""
+    path = str(tmp_path)
+    scored = spark.range(40_000).select(F.md5(F.col("id").cast("string")).alias("visit_id"), F.lit(1.0).alias("prediction"))
+    sc.replace_scores(sc.score_rows(scored.repartition(8, "visit_id"), SPEC, AS_OF, "v1", scored_at=AT), SPEC, path)
+    table = sc.read_score_table(spark, SPEC, path)
+    assert files_and_rows(table)["numOutputRows"] == 40_000
+    wanted = scored.first()["visit_id"]
+    found = reports.scores_of(table, SPEC, wanted)
+    assert found.count() == 1
+    assert files_and_rows(found)["numOutputRows"] <= 10_000
+
+
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["written", "complete", "moving"])
+def test_a_load_that_fails_loses_and_doubles_no_row(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    old, new = [(1, 1.0), (2, 2.0)], [(1, 5.0), (3, 3.0)]
+    for version in ("v1", "v2"):
+        sc.replace_scores(rows(spark, old, version), SPEC, path)
+
+    def failing(of, times):
+        seen = []
+
+        def call(*given):
+            seen.append(given)
+            if len(seen) == times:
+                raise Lost
+            return of(*given)
+
+        return call
+
+    name, times = {"written": ("mark", 1), "complete": ("move", 1), "moving": ("move", 2)}[step]
+    both = rows(spark, new, "v1").unionByName(rows(spark, new, "v2"))
+    with monkeypatch.context() as broken:
+        broken.setattr(sc, name, failing(getattr(sc, name), times))
+        with pytest.raises(Lost):
+            sc.replace_scores(both, SPEC, path)
+
+    def stored():
+        found = sc.read_score_table(spark, SPEC, path).collect()
+        return {v: sorted((int(r["VISIT_ID"]), r["PREDICTED_FRAUD_SCORE"]) for r in found if r["MODEL_VERSION"] == v) for v in ("v1", "v2")}
+
+    assert all(found in (old, new) for found in stored().values())
+    sc.finish_pending(spark, path)
+    assert stored() == dict.fromkeys(("v1", "v2"), old if step == "written" else new)
+    sc.replace_scores(both, SPEC, path)
+    assert stored() == dict.fromkeys(("v1", "v2"), new)
+    assert not [x for x in (tmp_path / "t").iterdir() if x.name.startswith("_p")]
+
+
+def test_stored_rows_without_an_id_stay(spark, tmp_path):
+    path = str(tmp_path)
+    sc.replace_scores(rows(spark, [(None, 1.0), (1, 1.0)]), SPEC, path)
+    assert sc.append_scores(rows(spark, [(2, 2.0), (None, 3.0)]), sc.read_score_table(spark, SPEC, path), SPEC, path) == 3
+    found = sc.read_score_table(spark, SPEC, path).collect()
+    assert sorted((str(r["VISIT_ID"]), r["PREDICTED_FRAUD_SCORE"]) for r in found) == [("1", 1.0), ("2", 2.0), ("None", 1.0)]
+
+
+def test_only_what_runs_have_stored_is_cleared(spark, tmp_path):
+    path = str(tmp_path)
+    sc.replace_scores(rows(spark, [(1, 1.0)], "own 1/2"), SPEC, path, owned=True)
+    sc.replace_scores(rows(spark, [(1, 2.0)], "external"), SPEC, path)
+    sc.clear_owned(spark, path, date(2024, 1, 29))
+    assert sc.read_score_table(spark, SPEC, path).count() == 2
+    for _ in range(2):
+        sc.clear_owned(spark, path, date(2024, 1, 30))
+        assert [r["MODEL_VERSION"] for r in sc.read_score_table(spark, SPEC, path).collect()] == ["external"]

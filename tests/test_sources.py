@@ -148,3 +148,13 @@ def test_visits_by_table_name_and_by_format(spark, tmp_path):
     assert clean_for_scoring(readers.read_visits(spark, "visits_of_test"), SPEC).count() == 1
     visits.write.orc(str(tmp_path / "orc"))
     assert readers.read_visits(spark, str(tmp_path / "orc"), "orc").count() == 1
+
+
+@pytest.mark.parametrize("name", ["a b", "50%", "a%20b", "c+d", "{x,y}", "[ab]", "q?*", "é"])
+def test_files_of_any_name_are_read(spark, tmp_path, name):
+    for at in (tmp_path / name / "one.csv", tmp_path / "plain" / f"{name}.csv"):
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_text("visit_id,x\n1,a\n2,b\n")
+    ids = readers.read_ids_csv(spark, str(tmp_path), "visit_id", "int")
+    assert sorted(r["visit_id"] for r in ids.collect()) == [1, 1, 2, 2]
+    assert readers.read_folder(spark, str(tmp_path), "visit_id int, x string").count() == 4

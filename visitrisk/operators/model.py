@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Sequence
+import random
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import SparkContext, StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +19,15 @@ from visitrisk.functions.split import SPLIT, TEST, TRAIN
 from visitrisk.operators.encode import read_codes
 from visitrisk.operators.matrix import FEATURES, assembler, feature_matrix
 from visitrisk.operators.metrics import regression_metrics
-from visitrisk.scratch import shared_folder
+from visitrisk.scratch import checkpointed
 from visitrisk.spec import FeatureSpec
 
 LABEL = "label"
 PREDICTION = "prediction"
 VALIDATION = "VALIDATION"
 
+_RESIDUAL, _CHANGE, _LEAF, _SEEN = "__residual", "__change", "__leaf", "__seen"
+
 
 @dataclass(frozen=True)
 class BoostParams:
@@ -38,9 +42,9 @@ class BoostParams:
     seed: int = 42
     patience: int = 50
     bins: int = 256
+    # A leaf's value is the sum of its rows' residuals over their number plus this.
+    leaf_penalty: float = 1.0
 
-    # First number of rounds tried; each further try has twice as many.
-    first_try: int = 100
     # About how many training rows take part, chosen by hash of their features; None: all.
     max_rows: int | None = None
     # Every round visits all partitions several times: on a large dataset, two or three per core are
@@ -52,7 +56,10 @@ class BoostParams:
 
 @dataclass(frozen=True)
 class Trained:
+    """The model, the mean squared error of each round fitted, on either side, and the metrics of the rounds kept."""
+
     pipeline: PipelineModel
+    training_errors: list[float]
     validation_errors: list[float]
     metrics: DataFrame
 
@@ -61,24 +68,6 @@ class Trained:
         return feature_names(self.pipeline)
 
 
-def _regressor(params: BoostParams, rounds: int) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        predictionCol=PREDICTION,
-        lossType="squared",
-        maxIter=rounds,
-        maxDepth=params.max_depth,
-        stepSize=params.step,
-        subsamplingRate=params.row_share,
-        featureSubsetStrategy=str(params.column_share),
-        maxBins=params.bins,
-        seed=params.seed,
-        maxMemoryInMB=params.histogram_mb,
-        checkpointInterval=params.checkpoint_every,
-    )
-
-
 def rounds_to_keep(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     """Rounds up to the best validation error, and whether ``patience`` idle rounds followed it.
 
@@ -94,36 +83,90 @@ def rounds_to_keep(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def _boost(train: DataFrame, validation: DataFrame, params: BoostParams) -> tuple[GBTRegressionModel, list[float]]:
+def drawn_columns(n: int, params: BoostParams, round_: int) -> list[int]:
+    """The columns that the tree of a round may split on."""
+    return sorted(random.Random(f"{params.seed} {round_}").sample(range(n), max(1, int(n * params.column_share))))
+
+
+def _fit_tree(rows: DataFrame, n_columns: int, params: BoostParams, round_: int) -> tuple[DecisionTreeRegressionModel, list[float]]:
+    """A tree on ``_RESIDUAL`` and the values of its leaves, from left to right."""
+    columns = drawn_columns(n_columns, params, round_)
+    drawn = rows.filter(F.col(SPLIT) == TRAIN)
+    if params.row_share < 1:
+        drawn = drawn.sample(params.row_share, params.seed + round_)
+    # A column of zeros is never split on, and the others keep their numbers.
+    mask = Vectors.dense([float(i in columns) for i in range(n_columns)])
+    seen = drawn if len(columns) == n_columns else ElementwiseProduct(scalingVec=mask, inputCol=FEATURES, outputCol=_SEEN).transform(drawn)
+    tree = DecisionTreeRegressor(
+        featuresCol=FEATURES if seen is drawn else _SEEN,
+        labelCol=_RESIDUAL,
+        predictionCol=_CHANGE,
+        leafCol=_LEAF,
+        maxDepth=params.max_depth,
+        maxBins=params.bins,
+        seed=params.seed + round_,
+        maxMemoryInMB=params.histogram_mb,
+    ).fit(seen).setFeaturesCol(FEATURES)
+    # One row per leaf.
+    total = tree.transform(drawn).groupBy(_LEAF).agg(F.sum(_RESIDUAL).alias("sum"), F.count("*").alias("n"))
+    values = {int(r[_LEAF]): r["sum"] / (r["n"] + params.leaf_penalty) for r in total.collect()}
+    return tree, [values.get(i, 0.0) for i in range(max(values) + 1)]
+
+
+def _boost(rows: DataFrame, params: BoostParams) -> tuple[GBTRegressionModel, list[float], list[float]]:
     """Boost until the validation error has been idle for ``patience`` rounds, keep the best prefix.
 
-    Tree m of a fit depends on the trees before it and on seed + m only, so a fit with fewer rounds is
-    the prefix of a longer one. The number of rounds therefore doubles by tries, and the last try has
-    fewer than twice the rounds that the rule needed. The kept prefix is cut from its trees.
+    ``rows`` holds FEATURES, LABEL and SPLIT. Each round fits one tree to what the rounds before leave of the
+    label. That is a column of rows kept from round to round, so no round is fitted twice: with n rounds kept,
+    n + patience are fitted. The column is checkpointed every ``checkpoint_every`` rounds, so a lost executor costs
+    those since. The first tree counts in full, later ones by ``step``.
     """
-    rounds = min(params.first_try, params.rounds)
-    while True:
-        model = _regressor(params, rounds).fit(train)
-        errors = list(model.evaluateEachIteration(validation, "squared"))
-        keep, stopped = rounds_to_keep(errors, params.patience)
-        if stopped or rounds == params.rounds:
-            break
-        rounds = min(rounds * 2, params.rounds)
-    return _first_trees(model, keep), errors
-
-
-def _first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The model of the first ``n`` rounds."""
-    whole, gateway = model._java_obj, SparkContext._active_spark_context._gateway
-    if n == model.getNumTrees:
-        return model
-    ml = gateway.jvm.org.apache.spark.ml.regression
-    trees = gateway.new_array(ml.DecisionTreeRegressionModel, n)
-    weights = gateway.new_array(gateway.jvm.double, n)
-    for i, tree in enumerate(itertools.islice(whole.trees(), n)):
-        trees[i], weights[i] = tree, model.treeWeights[i]
-    prefix = GBTRegressionModel(ml.GBTRegressionModel(whole.uid(), trees, weights, model.numFeatures))
-    return prefix.setFeaturesCol(FEATURES).setPredictionCol(PREDICTION)
+    n_columns = rows.schema[FEATURES].metadata["ml_attr"]["num_attrs"]
+    state = rows.withColumn(_RESIDUAL, F.col(LABEL)).persist(StorageLevel.MEMORY_AND_DISK)
+    trees, errors = [], {TRAIN: [], TEST: []}
+    try:
+        for round_ in range(params.rounds):
+            tree, values = _fit_tree(state, n_columns, params, round_)
+            weight = params.step if round_ else 1.0
+            trees.append((tree, values, weight))
+            value = F.element_at(F.array(*[F.lit(weight * v) for v in values]), F.col(_LEAF).cast("int") + 1)
+            after = tree.transform(state).select(FEATURES, LABEL, SPLIT, (F.col(_RESIDUAL) - value).alias(_RESIDUAL))
+            if round_ % params.checkpoint_every == params.checkpoint_every - 1:
+                after = checkpointed(after)
+            after = after.persist(StorageLevel.MEMORY_AND_DISK)
+            squares = dict(after.groupBy(SPLIT).agg(F.avg(F.col(_RESIDUAL) * F.col(_RESIDUAL))).collect())
+            state.unpersist()
+            state = after
+            for side, found in errors.items():
+                found.append(squares.get(side, float("inf")))
+            if rounds_to_keep(errors[TEST], params.patience)[1]:
+                break
+    finally:
+        state.unpersist()
+    keep, _ = rounds_to_keep(errors[TEST], params.patience)
+    return _ensemble(trees[:keep]), errors[TRAIN], errors[TEST]
+
+
+def _with_leaves(node, values: Iterator[float], nodes):
+    """A copy of a tree's ``node`` with other values in its leaves, from left to right."""
+    if node.getClass().getSimpleName() == "LeafNode":
+        return nodes.LeafNode(next(values), node.impurity(), node.impurityStats())
+    children = [_with_leaves(child, values, nodes) for child in (node.leftChild(), node.rightChild())]
+    return nodes.InternalNode(node.prediction(), node.impurity(), node.gain(), *children, node.split(), node.impurityStats())
+
+
+def _ensemble(fitted: Sequence[tuple[DecisionTreeRegressionModel, list[float], float]]) -> GBTRegressionModel:
+    """MLlib's model of the trees (tree, values of its leaves, weight)."""
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(fitted))
+    weights = gateway.new_array(gateway.jvm.double, len(fitted))
+    for i, (tree, values, weight) in enumerate(fitted):
+        root = _with_leaves(tree._java_obj.rootNode(), iter(values), ml.tree)
+        trees[i], weights[i] = ml.regression.DecisionTreeRegressionModel(tree.uid, root, tree.numFeatures), weight
+    uid = ml.regression.GBTRegressor().uid()
+    model = GBTRegressionModel(ml.regression.GBTRegressionModel(uid, trees, weights, fitted[0][0].numFeatures))
+    return model.setFeaturesCol(FEATURES).setPredictionCol(PREDICTION)
 
 
 def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostParams()) -> Trained:
@@ -132,7 +175,6 @@ def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostPa
     ``matrix`` has the features ``names``, ``label`` and ``data_split``. Read it from a written
     dataset: same files, settings and seed give the same model.
     """
-    shared_folder(matrix.sparkSession)  # the booster checkpoints its running errors there
     assemble = assembler(names)
     rows = assemble.transform(matrix).select(FEATURES, F.col(LABEL).cast("double").alias(LABEL), SPLIT)
     if params.max_rows is not None:
@@ -144,9 +186,7 @@ def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostPa
         rows = rows.coalesce(params.partitions)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model, errors = _boost(
-            rows.filter(F.col(SPLIT) == TRAIN), rows.filter(F.col(SPLIT) == TEST), params
-        )
+        model, training_errors, validation_errors = _boost(rows, params)
         dataset = F.when(F.col(SPLIT) == TRAIN, TRAIN).otherwise(VALIDATION).alias("dataset")
         predicted = model.transform(rows).select(dataset, LABEL, PREDICTION)
         # Two rows, computed before the training rows are released.
@@ -154,7 +194,7 @@ def train(matrix: DataFrame, names: Sequence[str], params: BoostParams = BoostPa
         metrics = matrix.sparkSession.createDataFrame(measured.collect(), measured.schema)
     finally:
         rows.unpersist()
-    return Trained(PipelineModel([assemble, model]), errors, metrics)
+    return Trained(PipelineModel([assemble, model]), training_errors, validation_errors, metrics)
 
 
 def feature_names(pipeline: PipelineModel) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from visitrisk.functions import cleaning
 from visitrisk.functions.days import yesterday
+from visitrisk.sources.folders import exists, mark, move, remove, remove_if_empty, subfolders
 from visitrisk.spec import FeatureSpec
 
 # Columns of the score table after the id, and the version of an unnamed model.
@@ -20,6 +22,10 @@ SCORED_AT = "SCORED_AT"
 CREATED_AT = "CREATED_AT"
 UNKNOWN_VERSION = "unknown"
 
+# Readers of a table skip folders that begin so: what is to be published, and which days and versions a run has stored.
+PENDING = "_pending"
+OWNED = "_owned"
+
 
 def score_table_schema(spec: FeatureSpec) -> T.StructType:
     return T.StructType(
@@ -109,8 +115,8 @@ def merged(batch: DataFrame, stored: DataFrame, spec: FeatureSpec) -> DataFrame:
     """The table's rows after adding ``batch``: one per id, date and model version.
 
     A stored number stays; a stored NULL or NaN gives way to the batch's number. Of several rows of a
-    batch the one with the greatest number counts. Rows without an id are left out. All is reduced
-    before the one shuffle.
+    batch the one with the greatest number counts. Rows of a batch without an id are left out, stored ones stay
+    as they are. All is reduced before the one shuffle.
     """
     key = [spec.id.upper(), SCORE_DATE, MODEL_VERSION]
     rest = [SCORE, SCORED_AT, CREATED_AT]
@@ -118,7 +124,8 @@ def merged(batch: DataFrame, stored: DataFrame, spec: FeatureSpec) -> DataFrame:
     rank = F.struct(none.alias("none"), F.col("__new"), (-F.col(SCORE)).alias("order"), *[F.col(c) for c in rest])
     both = stored.withColumn("__new", F.lit(False)).unionByName(batch.withColumn("__new", F.lit(True)))
     single = both.filter(F.col(key[0]).isNotNull()).groupBy(*key).agg(F.min(rank).alias("first"))
-    return single.select(*key, *[F.col(f"first.{c}").alias(c) for c in rest]).select(*batch.columns)
+    rows = single.select(*key, *[F.col(f"first.{c}").alias(c) for c in rest]).select(*batch.columns)
+    return rows.unionByName(stored.filter(F.col(key[0]).isNull()).select(*batch.columns))
 
 
 def read_score_table(spark: SparkSession, spec: FeatureSpec, path: str) -> DataFrame:
@@ -143,20 +150,73 @@ def _writer(rows: DataFrame, spec: FeatureSpec):
     )
 
 
-def replace_scores(rows: DataFrame, spec: FeatureSpec, path: str) -> None:
-    """Store a whole day of a model version, in place of an earlier run of the same. No join."""
-    _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def _pairs(spark: SparkSession, folder: str) -> list[str]:
+    """The ``SCORE_DATE=../MODEL_VERSION=..`` folders below ``folder``; a load has few of them."""
+    return [f"{day}/{version}" for day in subfolders(spark, folder) for version in subfolders(spark, f"{folder}/{day}")]
+
+
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Ends what a load has left that failed: it is published if it was written in full, else it goes.
+
+    Every load begins with it.
+    """
+    for run in subfolders(spark, f"{path}/{PENDING}"):
+        pending = f"{path}/{PENDING}/{run}"
+        if exists(spark, f"{pending}/complete"):
+            _exchange(spark, path, pending)
+        remove(spark, pending)
+    remove_if_empty(spark, f"{path}/{PENDING}")
 
 
-def append_scores(rows: DataFrame, stored: DataFrame, spec: FeatureSpec, path: str) -> None:
-    """Add ``rows`` to ``stored``, the present content of ``path``: see :func:`merged`.
+def _exchange(spark: SparkSession, path: str, pending: str) -> None:
+    for pair in _pairs(spark, f"{pending}/rows"):
+        if exists(spark, f"{pending}/owned"):
+            mark(spark, f"{path}/{OWNED}/{pair}/stored")
+        move(spark, f"{pending}/rows/{pair}", f"{path}/{pair}")
+
+
+def replace_scores(rows: DataFrame, spec: FeatureSpec, path: str, owned: bool = False) -> int:
+    """Store whole days of model versions, in place of earlier runs of the same, and return the number of rows.
+
+    In two steps: the rows are written and counted beside the table, then their folders take the place of the
+    old ones. A load that fails before the second step changes nothing; one that fails in it is ended by the next
+    load, or by :func:`finish_pending`. One load at a time. ``owned`` records the days and versions for
+    :func:`clear_owned`.
+    """
+    spark = rows.sparkSession
+    finish_pending(spark, path)
+    pending = f"{path}/{PENDING}/{uuid4().hex}"
+    _writer(rows, spec).parquet(f"{pending}/rows")
+    written = read_score_table(spark, spec, f"{pending}/rows").count()  # from the files' footers
+    if owned:
+        mark(spark, f"{pending}/owned")
+    mark(spark, f"{pending}/complete")
+    _exchange(spark, path, pending)
+    remove(spark, pending)
+    remove_if_empty(spark, f"{path}/{PENDING}")
+    return written
+
+
+def clear_owned(spark: SparkSession, path: str, day: date) -> None:
+    """Remove what loads with ``owned`` have stored of a day. What others have stored of it, under other versions, stays."""
+    finish_pending(spark, path)
+    folder = f"{SCORE_DATE}={day.isoformat()}"
+    for version in subfolders(spark, f"{path}/{OWNED}/{folder}"):
+        remove(spark, f"{path}/{folder}/{version}")
+    remove(spark, f"{path}/{OWNED}/{folder}")
+    for left in (OWNED, folder):
+        remove_if_empty(spark, f"{path}/{left}")
+
+
+def append_scores(rows: DataFrame, stored: DataFrame, spec: FeatureSpec, path: str) -> int:
+    """Add ``rows`` to ``stored``, the present content of ``path``: see :func:`merged`. Returns the rows of the touched days.
 
     Only the days and versions of ``rows`` are read and replaced, each as a whole, so a load that
     fails or runs twice leaves no row double. There are few of them: one of each per load.
     """
     touched = F.broadcast(rows.select(SCORE_DATE, MODEL_VERSION).distinct())
     before = stored.join(touched, [SCORE_DATE, MODEL_VERSION], "left_semi").select(*rows.columns)
-    replace_scores(merged(rows, before, spec), spec, path)
+    return replace_scores(merged(rows, before, spec), spec, path)
 
 
 def latest_scores(scores: DataFrame, spec: FeatureSpec) -> DataFrame:

@@ -12,9 +12,10 @@ from visitrisk.functions.days import yesterday
 from visitrisk.operators.reports import scores_on
 from visitrisk.operators.scores import (
     MODEL_VERSION,
-    SCORE_DATE,
     append_scores,
+    clear_owned,
     create_score_table,
+    finish_pending,
     pair_scores,
     pairing_counts,
     read_score_table,
@@ -22,7 +23,6 @@ from visitrisk.operators.scores import (
     replace_scores,
     score_rows,
 )
-from visitrisk.sources.folders import remove
 from visitrisk.sources.layout import SCORE_DAY, in_partition
 from visitrisk.sources.readers import read_ids_csv, read_predictions_csv
 from visitrisk.spec import FeatureSpec
@@ -42,14 +42,13 @@ def load_scores(
     """Store the predictions of a scoring run, replacing an earlier load of the same day and version.
 
     ``version`` None, from a scoring run without visits, stores nothing: a day without visits has no
-    scores, so those an earlier run of that day left are removed.
+    scores, so those an earlier run of that day left are removed. Scores made elsewhere stay.
     """
     if version is None:
-        remove(spark, in_partition(table, SCORE_DATE, yesterday(as_of)))
+        clear_owned(spark, table, yesterday(as_of))
         return 0
     scored = spark.read.parquet(in_partition(predictions, SCORE_DAY, yesterday(as_of)))
-    replace_scores(score_rows(scored, spec, as_of, version, scored_at=scored_at), spec, table)
-    return _stored(spark, spec, as_of, version, table).count()
+    return replace_scores(score_rows(scored, spec, as_of, version, scored_at=scored_at), spec, table, owned=True)
 
 
 def load_external_scores(
@@ -79,9 +78,10 @@ def load_external_scores(
     if any(n for name, n in counts.items() if name != "ids"):
         log.warning("pairing of ids and predictions: %s", counts)
     rows = score_rows(pair_scores(asked, numbers, spec.id), spec, as_of, version, scored_at=scored_at)
+    finish_pending(spark, table)
     create_score_table(spark, spec, table)
-    append_scores(rows, _stored(spark, spec, as_of, version, table), spec, table)
-    return _stored(spark, spec, as_of, version, table).count()
+    stored = _stored(spark, spec, as_of, version, table)
+    return append_scores(rows, stored, spec, table) or stored.count()
 
 
 def _stored(spark: SparkSession, spec: FeatureSpec, as_of: date, version: str, table: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +60,11 @@ def _schema(*fields: tuple[str, str]) -> T.StructType:
     return T.StructType([T.StructField(n, T._parse_datatype_string(k)) for n, k in fields])
 
 
+def _as_given(uri: str) -> str:
+    """The path that a reader takes for one file, whatever characters its name has."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+
+
 def _headers(spark: SparkSession, folder: str, pattern: str) -> dict[tuple[str, ...], list[str]]:
     """The CSV files below ``folder`` by their header.
 
@@ -72,7 +79,7 @@ def _headers(spark: SparkSession, folder: str, pattern: str) -> dict[tuple[str,
     )
     found: dict[tuple[str, ...], list[str]] = {}
     for row in lines.groupBy("path").agg(F.min_by("value", "at").alias("head")).collect():
-        found.setdefault(tuple(next(csv.reader([row["head"]]))), []).append(row["path"])
+        found.setdefault(tuple(next(csv.reader([row["head"]]))), []).append(_as_given(row["path"]))
     return found
 
 
