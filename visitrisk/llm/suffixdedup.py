@@ -284,7 +284,7 @@ def repeated(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> D
     for done in ("digits", "asked", "cores", "open", "windows"):
         remove(docs.sparkSession, f"{work}/{done}")
     part = found.join(bits, ["doc", "span"]).select("doc", "at", "span", "windows")
-    return whole.unionByName(part)
+    return _written(whole, f"{work}/whole").unionByName(_written(part, f"{work}/part"))
 
 
 def dedup(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
