@@ -72,7 +72,7 @@ def plain_verdicts(pages):
     rest = lambda url: url.split("://", 1)[1] if url and "://" in url else ""
     host = lambda r: re.match(r"[^/?#]*", r)[0].translate({c: c + 32 for c in range(65, 91)})
     path = lambda r: re.match(r"[^/?#]*([^?#]*)", r)[1]
-    node = lambda r: host(r) + path(r) + (re.match(r"[^?#]*(\?[^#]*)?", r)[1] or "") if r else None
+    node = lambda r: host(r) + (path(r) or "/") + (re.match(r"[^?#]*(\?[^#]*)?", r)[1] or "") if r else None
 
     def rule(r):
         fits = [x for x in queries.RULES if (host(r) == x[1] or host(r).endswith("." + x[1])) and path(r).startswith(x[2])]
@@ -113,6 +113,30 @@ def test_url_sql_follows_aliases():
     assert sorted(found, key=str) == sorted(plain_verdicts(PAGES), key=str)
 
 
+ALIASES = [  # url of a blocked page or of none, url of a page without a rule, its link, whether they are one
+    ("http://good.net/es/p", "http://a.org/x", '<link rel="canonical" href="/share?u=http://good.net/es/p">', False),
+    ("http://good.net/es/p", "http://a.org/x", '<link rel="canonical" data-href="http://good.net/es/p" href="http://a.org/y">', False),
+    ("http://good.net/es/p?a=1&b=2", "http://a.org/x", '<link rel="canonical" href="http://good.net/es/p?a=1&amp;b=2">', True),
+    ("http://good.net/es/", "http://a.org", '<link rel="canonical" href="http://good.net/es/">', True),
+    ("http://good.net/es/", "http://a.org/", '<meta http-equiv="refresh" content="0; url=https://good.net:443/es/">', True),
+    ("http://good.net/es/", "http://a.org:80/q", '<link rel=canonical href="HTTP://good.net:80/es/">', True),
+    ("http://good.net/es/", "http://a.org/", '<link rel=canonical href="http://good.net:8080/fr/">', False),
+]
+
+
+@pytest.mark.parametrize(("blocked", "url", "html", "same"), ALIASES)
+def test_links_make_true_aliases_only(spark, blocked, url, html, same):
+    rows = [(1, blocked, None), (2, url, html), (3, url.replace(":80", "") + ("" if url.count("/") > 2 else "/"), "")]
+    found = urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), queries.RULES)
+    verdicts = dict(found.select("page_id", "verdict").collect())
+    assert verdicts == {1: "block", 2: "block" if same else "allow", 3: "block" if same else "allow"}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    sql = con.sql(queries.oracle_sql()["op7_url_filter"])
+    assert {r[0]: r[4] for r in sql.fetchall()} == verdicts
+
+
 def test_redirect_table_and_empty_pages(spark):
     pages = spark.createDataFrame([(1, "http://x.org/", None)], "page_id long, url string, html string")
     moved = spark.createDataFrame([("http://x.org/", "http://y.org/"), ("http://z.net/fr/", "https://y.org/"), (None, "http://x.org/")], "from_url string, to_url string")

@@ -49,7 +49,8 @@ def url_filter(rules: list[urlfilter.Rule]) -> str:
     rest = lambda url: f"(CASE WHEN strpos({url}, '://') > 0 THEN substr({url}, strpos({url}, '://') + 3) ELSE '' END)"
     host = lambda r: f"translate(regexp_extract({r}, '^[^/?#]*', 0), {_UPPER}, {_LOWER})"
     path = lambda r: f"regexp_extract({r}, '^[^/?#]*([^?#]*)', 1)"
-    node = lambda r: f"CASE WHEN {r} <> '' THEN concat({host(r)}, {path(r)}, regexp_extract({r}, '^[^?#]*(\\?[^#]*)', 1)) END"
+    port = lambda url: f"regexp_replace({url}, '(?i)^(http://[^/?#]*):80([/?#]|$)|^(https://[^/?#]*):443([/?#]|$)', '\\1\\2\\3\\4')"
+    node = lambda r: f"CASE WHEN {r} <> '' THEN concat({host(r)}, COALESCE(NULLIF({path(r)}, ''), '/'), regexp_extract({r}, '^[^?#]*(\\?[^#]*)', 1)) END"
     quoted = lambda pattern: "'" + pattern.replace("'", "''") + "'"
 
     def decided(of_host: str, of_path: str, value: int) -> str:
@@ -58,12 +59,12 @@ def url_filter(rules: list[urlfilter.Rule]) -> str:
         return f"CASE {cases} END"
 
     def named(tag: str, mark: str, value: str) -> str:
-        return f"SELECT page_id, r, regexp_extract(tag, {quoted(value)}, 1) AS target FROM (SELECT page_id, r, unnest(regexp_extract_all(html, {quoted(tag)})) AS tag FROM own) WHERE regexp_matches(tag, {quoted(mark)})"
+        return f"SELECT page_id, p AS r, replace(regexp_extract(tag, {quoted(value)}, 1), '&amp;', '&') AS target FROM (SELECT page_id, p, unnest(regexp_extract_all(html, {quoted(tag)})) AS tag FROM own) WHERE regexp_matches(tag, {quoted(mark)})"
 
-    return f"""WITH RECURSIVE own AS (SELECT page_id, html, {rest("COALESCE(url, '')")} AS r FROM pages),
-judged AS (SELECT page_id, {host("r")} AS host, {path("r")} AS path, {node("r")} AS node FROM own),
+    return f"""WITH RECURSIVE own AS (SELECT page_id, html, {rest("COALESCE(url, '')")} AS r, {rest(port("COALESCE(url, '')"))} AS p FROM pages),
+judged AS (SELECT page_id, {host("r")} AS host, {path("r")} AS path, {node("p")} AS node FROM own),
 named AS ({named(urlfilter.LINK_TAG, urlfilter.CANONICAL, urlfilter.HREF)} UNION ALL {named(urlfilter.META_TAG, urlfilter.REFRESH, urlfilter.TARGET)}),
-absolute AS (SELECT r, CASE WHEN strpos(target, '://') > 0 THEN {rest("target")} WHEN starts_with(target, '//') THEN substr(target, 3)
+absolute AS (SELECT r, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {rest(port("target"))} WHEN starts_with(target, '//') THEN substr(target, 3)
   WHEN starts_with(target, '/') THEN concat(regexp_extract(r, '^[^/?#]*', 0), target)
   WHEN starts_with(target, '?') OR starts_with(target, '#') THEN concat(regexp_extract(r, '^[^/?#]*', 0), {path("r")}, target)
   ELSE concat(regexp_replace(regexp_extract(r, '^[^/?#]*(/(?:[^?#]*/)?)?', 0), '/$', ''), '/', target) END AS t FROM named WHERE r <> '' AND target <> ''),

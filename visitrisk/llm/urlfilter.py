@@ -3,7 +3,9 @@
 **Rules.** A rule has a host, a path and a verdict. It fits a URL whose host is the rule's or a subdomain of it and
 whose path begins with the rule's; the longest rule that fits decides.
 
-**Aliases.** A URL's node is its host, path and query, without scheme and fragment. A page's canonical link and
+**Aliases.** A URL's node is its host, path and query, without scheme, the scheme's own port and fragment; an empty path
+is ``/``. A link is absolute if it begins with a scheme and ``://``, ``&amp;`` in it is ``&``; ``.`` and ``..`` in paths
+and a page's ``<base>`` are not resolved. A page's canonical link and
 its meta refresh, and redirects given as a table, are edges between nodes. Connected components of the edges
 are computed by distributed star steps. A page that no rule fits is blocked if any node of its component,
 crawled or not, is blocked by a rule. A rule's own verdict, an explicit allow above all, always stands, also
@@ -27,11 +29,13 @@ Rule = tuple[str, str, str]
 ALLOW, BLOCK = "allow", "block"
 
 LINK_TAG = r"(?i)<link\b[^>]*>"
-CANONICAL = r"""(?i)\brel\s*=\s*["']?canonical["'\s/>]"""
-HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
+CANONICAL = r"""(?i)[\s"']rel\s*=\s*["']?canonical["'\s/>]"""
+HREF = r"""(?i)[\s"']href\s*=\s*["']?([^"'\s>]+)"""
 META_TAG = r"(?i)<meta\b[^>]*>"
-REFRESH = r"""(?i)\bhttp-equiv\s*=\s*["']?refresh["'\s/>]"""
+REFRESH = r"""(?i)[\s"']http-equiv\s*=\s*["']?refresh["'\s/>]"""
 TARGET = r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)"""
+ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://"
+OWN_PORT = r"(?i)^(http://[^/?#]*):80([/?#]|$)|^(https://[^/?#]*):443([/?#]|$)"
 
 
 def after_scheme(url: Column) -> Column:
@@ -40,6 +44,10 @@ def after_scheme(url: Column) -> Column:
     return F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
 
 
+def without_own_port(url: Column) -> Column:
+    return F.regexp_replace(url, OWN_PORT, "$1$2$3$4")
+
+
 def host(rest: Column) -> Column:
     return lower_ascii(F.regexp_extract(rest, r"^[^/?#]*", 0))
 
@@ -51,7 +59,7 @@ def path(rest: Column) -> Column:
 def node(rest: Column) -> Column:
     """Host, path and query; NULL where nothing follows the scheme."""
     query = F.regexp_extract(rest, r"^[^?#]*(\?[^#]*)", 1)
-    return F.when(rest != "", F.concat(host(rest), path(rest), query))
+    return F.when(rest != "", F.concat(host(rest), F.when(path(rest) == "", "/").otherwise(path(rest)), query))
 
 
 def decision(rules: list[Rule], of_host: Column, of_path: Column) -> Column:
@@ -67,12 +75,12 @@ def links(pages: DataFrame) -> DataFrame:
     """(a, b): nodes of pages and of the URLs that their canonical links and meta refreshes name."""
     of = lambda tag, mark, value: F.transform(F.filter(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: t.rlike(mark)), lambda t: F.regexp_extract(t, value, 1))
     named = F.explode(F.concat(of(LINK_TAG, CANONICAL, HREF), of(META_TAG, REFRESH, TARGET)))
-    rows = pages.filter("html IS NOT NULL").select(after_scheme(F.col("url")).alias("rest"), named.alias("to")).filter("rest <> '' AND `to` <> ''")
+    rows = pages.filter("html IS NOT NULL").select(after_scheme(without_own_port(F.col("url"))).alias("rest"), named.alias("to")).filter("rest <> '' AND `to` <> ''")
     site = F.regexp_extract("rest", r"^[^/?#]*", 0)
     folder = F.regexp_extract("rest", r"^[^/?#]*(/(?:[^?#]*/)?)?", 0)
-    to = F.col("to")
+    to = F.replace(F.col("to"), F.lit("&amp;"), F.lit("&"))
     target = (
-        F.when(to.contains("://"), after_scheme(to))
+        F.when(to.rlike(ABSOLUTE), after_scheme(without_own_port(to)))
         .when(to.startswith("//"), F.substr(to, F.lit(3)))
         .when(to.startswith("/"), F.concat(site, to))
         .when(to.startswith("?") | to.startswith("#"), F.concat(site, path(F.col("rest")), to))
@@ -94,11 +102,12 @@ def judge(pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = Non
     url, html). ``redirects`` (from_url, to_url) adds edges."""
     edges = links(pages)
     if redirects is not None:
-        ends = redirects.select(node(after_scheme(F.col("from_url"))).alias("a"), node(after_scheme(F.col("to_url"))).alias("b"))
+        ends = redirects.select(*[node(after_scheme(without_own_port(F.col(c)))).alias(n) for c, n in (("from_url", "a"), ("to_url", "b"))])
         edges = edges.unionByName(ends.filter("a <> b"))
     edges = stored(edges.distinct(), "edges")
-    rest = after_scheme(F.coalesce(F.col("url").cast("string"), F.lit("")))
-    own = pages.select("page_id", rest.alias("rest")).select("page_id", host(F.col("rest")).alias("host"), path(F.col("rest")).alias("path"), node(F.col("rest")).alias("node"))
+    url = F.coalesce(F.col("url").cast("string"), F.lit(""))
+    own = pages.select("page_id", after_scheme(url).alias("rest"), after_scheme(without_own_port(url)).alias("plain"))
+    own = own.select("page_id", host(F.col("rest")).alias("host"), path(F.col("rest")).alias("path"), node(F.col("plain")).alias("node"))
     own = own.withColumn("own", decision(rules, F.col("host"), F.col("path")))
     if edges.isEmpty():  # no aliases to ask
         own = own.withColumn("alias_blocked", F.lit(False))
