@@ -268,7 +268,7 @@ def matrix(spark, sf_dir):
 PATIENT = boost.BoostParams(patience=3, leaf_penalty=0.0)
 # Eight rounds, all else as in a training run.
 SHORT = boost.BoostParams(rounds=8)
-PENALISED = boost.BoostParams(rounds=3, step=0.5, row_share=1.0, column_share=1.0)
+PENALISED = boost.BoostParams(rounds=3, step=0.5, row_share=1.0, column_share=1.0, keep_best=False)
 ONE_ROUND = boost.BoostParams(rounds=1, row_share=1.0, column_share=1.0, leaf_penalty=0.0)
 FLAGS = replace(VISITS, categorical=(), numeric=())
 

@@ -44,6 +44,8 @@ class BoostParams:
     bins: int = 256
     # A leaf's value is the sum of its rows' residuals over their number plus this.
     leaf_penalty: float = 1.0
+    # Keep the rounds up to the best validation error; else all that were fitted.
+    keep_best: bool = True
 
     # About how many training rows take part, chosen by hash of their features; None: all.
     max_rows: int | None = None
@@ -143,7 +145,7 @@ def _boost(rows: DataFrame, params: BoostParams) -> tuple[GBTRegressionModel, li
                 break
     finally:
         state.unpersist()
-    keep, _ = rounds_to_keep(errors[TEST], params.patience)
+    keep = rounds_to_keep(errors[TEST], params.patience)[0] if params.keep_best else len(trees)
     return _ensemble(trees[:keep]), errors[TRAIN], errors[TEST]
 
 
