@@ -111,7 +111,7 @@ def test_lookups_follow_the_measured_sizes(spark, plan_of):
         enc.encode(rows, codes, ["a", "unseen"])
     plan = encoded._jdf.queryExecution().optimizedPlan().toString()
     assert "__index_0" in plan and "__index_1" not in plan
-    assert "__value_0" in plan and "__key_0" not in plan and "__key_1" in plan
+    assert "__value_0" in plan and "__value_1" not in plan and "__rare_code_0" in plan and "__rare_code_1" not in plan
     assert [tuple(r) for r in encoded.collect()] == [(0, 0, 0, -1)]
 
 
@@ -158,3 +158,34 @@ def test_categories_of_any_type_are_text(spark, limits):
     codes = enc.fit_codes(rows, ["flag", "day"])
     found = enc.encode(rows, codes, ["flag", "day"], *limits)
     assert {tuple(r) for r in found.collect()} == {(i, 1 - i % 2, i % 3) for i in range(30)}
+
+
+def test_shuffles_do_not_grow_with_the_large_columns(spark, settings, plan_of):
+    settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    columns = [f"c{i}" for i in range(5)]
+    frame = spark.range(0, 3000, numPartitions=4).select(
+        "id", *[F.concat(F.lit("v"), F.col("id") * (i + 3) % (1500 + i)).alias(c) for i, c in enumerate(columns)]
+    )
+    codes = spark.createDataFrame(enc.fit_codes(frame, columns).collect(), "feature string, value string, code int")
+    expected = sorted(map(tuple, enc.encode(frame, codes, columns).collect()))
+    for limits in ((0, 0), (0, enc.INLINE_BYTES)):
+        for used in (columns[:1], columns):
+            plan = plan_of(enc.encode(frame, codes, used, *limits))
+            assert plan.count("Exchange hashpartitioning") == 4
+            assert plan.count("SortMergeJoin") == 2
+        assert sorted(map(tuple, enc.encode(frame, codes, columns, *limits).collect())) == expected
+
+
+def test_rare_values_keep_their_place(spark, monkeypatch):
+    """Rows whose values are the same, but in other columns or with a NULL between, have keys of their own."""
+    monkeypatch.setattr(enc, "COMMON_VALUES", 1)
+    rows = [("x", None, "y"), (None, "x", "y"), ("y", "x", None), ("xy", "", None), ("", "xy", None), (None, None, None)] * 3
+    frame = spark.createDataFrame(rows, "a string, b string, c string")
+    codes = spark.createDataFrame(
+        [(c, v, 10 * i + j) for i, c in enumerate("abc") for j, v in enumerate(["", "x", "xy", "y"])],
+        "feature string, value string, code int",
+    )
+    place = {c: {"": 10 * i, "x": 10 * i + 1, "xy": 10 * i + 2, "y": 10 * i + 3} for i, c in enumerate("abc")}
+    expected = sorted(tuple(place[c].get(v, -1) for c, v in zip("abc", row)) for row in rows)
+    for limits in LIMITS:
+        assert sorted(map(tuple, enc.encode(frame, codes, list("abc"), *limits).collect())) == expected

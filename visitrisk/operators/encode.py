@@ -7,6 +7,8 @@ a value that was not fitted becomes -1.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -101,17 +103,23 @@ def _labels(codes: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     }
 
 
-def _index_inline(df: DataFrame, labels: dict[str, list[str]]) -> tuple[DataFrame, dict[str, Column]]:
-    """Look up many small features in one projection; a chain of joins would copy each wide row per join."""
+def _index_inline(
+    df: DataFrame, labels: dict[str, list[str]], codes: dict[str, list[int]], name: str = "__index"
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Look up many small features in one projection; a chain of joins would copy each wide row per join.
+
+    A label's code is its position, or what ``codes`` has there.
+    """
     columns = list(labels)
     indexer = StringIndexerModel.from_arrays_of_labels(
-        list(labels.values()), columns, [f"__index_{i}" for i in range(len(columns))], handleInvalid="keep"
+        list(labels.values()), columns, [f"{name}_{i}" for i in range(len(columns))], handleInvalid="keep"
     )
-    # The indexer gives every other value, NULL too, the index after the last label.
-    found = {
-        c: F.when(F.col(f"__index_{i}") < len(labels[c]), F.col(f"__index_{i}").cast("int"))
-        for i, c in enumerate(columns)
-    }
+    found = {}
+    for i, c in enumerate(columns):
+        at = F.col(f"{name}_{i}").cast("int")
+        code = F.get(F.expr(f"array({', '.join(map(str, codes[c]))})"), at) if c in codes else at
+        # The indexer gives every other value, NULL too, the index after the last label.
+        found[c] = F.when(at < len(labels[c]), code)
     return indexer.transform(df), found
 
 
@@ -128,15 +136,77 @@ def _hot(df: DataFrame, columns: Sequence[str]) -> dict[str, list[int]]:
     return {c: [x["item"] for x in found[f"t{i}"] or [] if x["item"] is not None] for i, c in enumerate(columns)}
 
 
+def _among(value: str, hashes: Sequence[int]) -> Column:
+    return F.expr(f"xxhash64(`{value}`) IN ({', '.join(f'{h}L' for h in hashes)})") if hashes else F.lit(False)
+
+
 def _lookup(codes: DataFrame, feature: str, value: str, code: str) -> DataFrame:
     return codes.filter(F.col("feature") == feature).select(
         F.col("value").alias(value), F.col("code").alias(code)
     )
 
 
-def _spread(df: DataFrame, salts: int) -> Column:
-    """A key for rows that need no partner, one of ``salts``: the same whenever a task runs again."""
-    return F.concat(F.lit("\0"), F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts)))
+def _find_common(
+    result: DataFrame, codes: DataFrame, hot: dict[str, list[int]], inline_bytes: int
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The codes of common values: inside one projection while their bytes allow it, else by broadcast joins."""
+    common = codes.filter(reduce(or_, [(F.col("feature") == c) & _among("value", hot[c]) for c in hot]))
+    sizes = _sizes(common)
+    inline = _within(sizes, list(sizes), inline_bytes)
+    labels: dict[str, list[str]] = {}
+    numbers: dict[str, list[int]] = {}
+    for row in common.filter(F.col("feature").isin(inline)).collect() if inline else []:
+        labels.setdefault(row["feature"], []).append(row["value"])
+        numbers.setdefault(row["feature"], []).append(row["code"])
+    found: dict[str, Column] = {}
+    if labels:
+        result, found = _index_inline(result, labels, numbers, "__common_index")
+    for i, column in enumerate(c for c in sizes if c not in labels):
+        value, code = f"__common_value_{i}", f"__common_code_{i}"
+        lookup = F.broadcast(_lookup(common, column, value, code))
+        result = result.join(lookup, F.col(column) == F.col(value), "left").drop(value)
+        found[column] = F.col(code)
+    return result, found
+
+
+def _find_rare(
+    result: DataFrame, df: DataFrame, codes: DataFrame, hot: dict[str, list[int]]
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The codes of all other values of the large columns, by the same four shuffles however many there are.
+
+    The other values of a row are its key, by two hashes of 64 bits. Pairs of key and value, without the
+    wide rows, meet the codes in one join; the codes found are gathered by key, and the wide rows are
+    shuffled once to meet them. A key depends on content alone, so a rerun of a task cannot change it; rows with
+    the same values share a key. Rows without such a value need no partner and are spread by a hash of
+    task and row.
+    """
+    columns = list(hot)
+    rare = [F.when(~_among(c, hot[c]), F.col(c)) for c in columns]
+    # A hash skips NULLs, so each value is preceded by whether there is one.
+    marked = [x for r in rare for x in (r.isNull(), r)]
+    keys = [F.xxhash64(F.lit(seed), *marked).alias(k) for seed, k in enumerate(("__key_0", "__key_1"))]
+
+    values = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    narrow = values.select(*keys, *[r.alias(f"__rare_{i}") for i, r in enumerate(rare)])
+    named = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"__rare_{i}").alias("value")) for i, c in enumerate(columns)])
+    )
+    pairs = narrow.select("__key_0", "__key_1", named.alias("pair")).select("__key_0", "__key_1", "pair.*")
+    met = pairs.filter(F.col("value").isNotNull()).join(
+        codes.filter(F.col("feature").isin(columns)).hint("merge"), ["feature", "value"]
+    )
+    gathered = met.groupBy("__key_0", "__key_1").agg(
+        *[F.max(F.when(F.col("feature") == c, F.col("code"))).alias(f"__rare_code_{i}") for i, c in enumerate(columns)]
+    )
+
+    some = reduce(or_, [r.isNotNull() for r in rare])
+    alone = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
+    keyed = result.select(
+        "*", F.when(some, keys[0]).otherwise(alone).alias("__row_0"), F.when(some, keys[1]).alias("__row_1")
+    )
+    same = (F.col("__row_0") == F.col("__key_0")) & (F.col("__row_1") == F.col("__key_1"))
+    joined = keyed.join(gathered.hint("merge"), same, "left").drop("__key_0", "__key_1", "__row_0", "__row_1")
+    return joined, {c: F.col(f"__rare_code_{i}") for i, c in enumerate(columns)}
 
 
 def encode(
@@ -151,10 +221,9 @@ def encode(
 
     Values are compared as text on every way. The size of each feature's codes is measured. The smallest
     are looked up by an indexer inside one projection, larger ones by a broadcast join, and those beyond
-    the limits by a shuffled join. Before the latter, the common values of a column (they may be a third
-    of all rows) are taken out by a broadcast of at most ``COMMON_VALUES`` codes, and their rows are
-    spread over the partitions. Small features come first, so the shuffled rows already hold their codes
-    instead of their text.
+    the limits by shuffles of narrow pairs and one of the rows, whatever the number of such columns. Before
+    the latter, the common values of a column (they may be a third of all rows) are looked up apart, at most
+    ``COMMON_VALUES`` a column. Large columns are read twice, so ``df`` must have the same rows each time.
 
     A column of which ``codes`` has no value at all is an error, as codes of another table or half-written
     ones would give -1 everywhere; ``unfitted`` names the columns that may lack codes.
@@ -167,36 +236,24 @@ def encode(
     small = _within(sizes, fitted, broadcast_bytes)
     large = [c for c in fitted if c not in small]
     labels = _labels(codes, _within(sizes, small, inline_bytes))
-    hot = _hot(df, large) if large else {}
-    # Several keys for each partition the rows may be spread over.
-    salts = 4 * max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 64)
 
     others = [c for c in df.columns if c not in columns]
     texts = {c: F.col(c).cast("string").alias(c) for c in columns}
     result = df.select(*[texts.get(c, F.col(f"`{c}`")) for c in df.columns])
     found = dict.fromkeys(columns, F.lit(None).cast("int"))
     if labels:
-        result, indexed = _index_inline(result, labels)
+        result, indexed = _index_inline(result, labels, {})
         found.update(indexed)
-    for i, column in enumerate([c for c in small if c not in labels] + large):
+    for i, column in enumerate(c for c in small if c not in labels):
         value, code = f"__value_{i}", f"__code_{i}"
-        lookup = _lookup(codes, column, value, code)
-        if column in small:
-            result = result.join(F.broadcast(lookup), F.col(column) == F.col(value), "left").drop(value)
-            found[column] = F.col(code)
-        else:
-            hashes = [F.lit(h) for h in hot[column]]
-            hot_value, hot_code, key = f"__common_value_{i}", f"__common_code_{i}", f"__key_{i}"
-            common = _lookup(codes, column, hot_value, hot_code).filter(F.xxhash64(hot_value).isin(hashes))
-            rare = F.col(column).isNotNull() & ~F.xxhash64(column).isin(hashes)
-            result = (
-                result.withColumn(key, F.when(rare, F.col(column)).otherwise(_spread(result.select(*others), salts)))
-                .join(F.broadcast(common), F.col(column) == F.col(hot_value), "left")
-                .drop(hot_value)
-                .join(lookup.hint("merge"), F.col(key) == F.col(value), "left")
-                .drop(key, value)
-            )
-            found[column] = F.coalesce(F.col(hot_code), F.when(F.col(column).isNotNull(), F.col(code)))
+        lookup = F.broadcast(_lookup(codes, column, value, code))
+        result = result.join(lookup, F.col(column) == F.col(value), "left").drop(value)
+        found[column] = F.col(code)
+    if large:
+        hot = _hot(df, large)
+        result, common = _find_common(result, codes, hot, inline_bytes)
+        result, rare = _find_rare(result, df, codes, hot)
+        found.update({c: F.coalesce(common[c], rare[c]) if c in common else rare[c] for c in large})
     encoded = [F.coalesce(found[c], F.lit(UNKNOWN)).alias(c + ENCODED_SUFFIX) for c in columns]
     return result.select(*others, *encoded)
 
