@@ -158,3 +158,22 @@ def test_files_of_any_name_are_read(spark, tmp_path, name):
     ids = readers.read_ids_csv(spark, str(tmp_path), "visit_id", "int")
     assert sorted(r["visit_id"] for r in ids.collect()) == [1, 1, 2, 2]
     assert readers.read_folder(spark, str(tmp_path), "visit_id int, x string").count() == 4
+
+
+def test_file_names_reach_the_driver_only_where_headers_differ(spark, tmp_path, monkeypatch):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"c,n\nx,{i}\n")
+    (tmp_path / "empty.csv").write_text("")
+    asked = []
+    monkeypatch.setattr(readers, "_as_given", lambda uri, given=readers._as_given: asked.append(uri) or given(uri))
+    assert content(readers.read_folder(spark, str(tmp_path), "n int")) == [(i,) for i in range(5)]
+    assert not asked
+    (tmp_path / "other.csv").write_text("\n\nn,c\n5,y\n")
+    assert content(readers.read_folder(spark, str(tmp_path), "n int")) == [(i,) for i in range(6)]
+    assert len(asked) == 6
+
+
+def test_a_header_over_two_lines_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"c\nd",n\nx,1\n')
+    with pytest.raises(ValueError, match="line break"):
+        readers.read_folder(spark, str(tmp_path))

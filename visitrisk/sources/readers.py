@@ -65,22 +65,28 @@ def _as_given(uri: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
 
-def _headers(spark: SparkSession, folder: str, pattern: str) -> dict[tuple[str, ...], list[str]]:
-    """The CSV files below ``folder`` by their header.
+def _heads(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """The header of each CSV file below ``folder``: its first line with text, found in the tasks.
 
-    One row per file is reduced in the tasks, from the first line alone; files are listed by any reader.
+    A header with a line break inside quotes is an error, as a file's lines are read apart from each other.
     """
     lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
+        spark.read.options(**_below(pattern))
         .text(folder)
-        .filter(F.col("_metadata.file_block_start") == 0)
+        .filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), "value")
     )
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in lines.groupBy("path").agg(F.min_by("value", "at").alias("head")).collect():
-        found.setdefault(tuple(next(csv.reader([row["head"]]))), []).append(_as_given(row["path"]))
-    return found
+    return lines.groupBy("path").agg(F.min_by("value", "at").alias("head"))
+
+
+def _below(pattern: str) -> dict[str, str]:
+    return {"recursiveFileLookup": "true", "pathGlobFilter": pattern}
+
+
+def _names(head: str) -> list[str]:
+    if head.count('"') % 2:
+        raise ValueError(f"a header with a line break inside quotes: {head!r}")
+    return next(csv.reader([head]))
 
 
 def _csv_by_name(
@@ -88,13 +94,20 @@ def _csv_by_name(
 ) -> DataFrame | None:
     """CSV files with headers, read by column name whatever order each file has; None without files.
 
-    A column that a file lacks is NULL there. Columns outside ``schema`` are left out.
+    A column that a file lacks is NULL there. Columns outside ``schema`` are left out. The driver gets one
+    row per different header; only where there are several, the names of their files, too.
     """
     rows = None
+    heads = _heads(spark, folder, pattern)
+    different = sorted(r["head"] for r in heads.groupBy("head").agg(F.count("*")).collect())
     types = {} if schema is None else {f.name: f.dataType for f in schema}
-    for names, paths in sorted(_headers(spark, folder, pattern).items()):
-        own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
-        part = _checked(_csv(spark, True, multi_line), own, keep_damaged=False).csv(paths)
+    for head in different:
+        own = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in _names(head)])
+        reader = _checked(_csv(spark, True, multi_line), own, keep_damaged=False)
+        if len(different) == 1:
+            part = reader.options(**_below(pattern)).csv(folder)
+        else:
+            part = reader.csv([_as_given(r["path"]) for r in heads.filter(F.col("head") == head).collect()])
         rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     if rows is None or schema is None:
         return rows
