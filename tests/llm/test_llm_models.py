@@ -1,7 +1,9 @@
 """Held-out accuracy of the trained operators, their edge cases, and the pipeline against its parts."""
 
 import random
+import re
 
+import numpy as np
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +90,49 @@ def test_noisy_or():
     assert toxicity.noisy_or(np.array([0.5, 0.5, 0.2]), np.array([0, 0, 2]), 3) == pytest.approx([0.75, 0, 0.2])
 
 
+TAUGHT = {
+    "en": ["the cat sits on the mat", "a dog and the other dogs", "this is what they thought", "where there is a will"],
+    "de": ["die Katze sitzt auf der Matte", "ein Hund und die Hunde", "das ist was wir dachten"],
+    "fi": ["kissa istuu ikkunalla", "koira ja toiset koirat", "t\u00e4m\u00e4 on se mit\u00e4 ajattelimme", "miss\u00e4 on tahtoa", "p\u00f6yt\u00e4 ja tuoli"],
+}
+
+
+def plain_grams(text):
+    line = f" {re.sub(r'[^a-z\u00e4\u00f6\u00fc\u00df]+', ' ', text.lower()).strip()} "
+    return {line[i : i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1)} - {" "}
+
+
+def test_language_model_equals_exact_kernel_ridge(spark):
+    """With every training text as a landmark, the regression is the one with the whole kernel matrix."""
+    rows = [(t, lang) for lang, texts in TAUGHT.items() for t in texts]
+    ridge = 0.01
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.fit(docs, training_texts=10**6, landmarks=10**6, ridge=ridge)
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    own, n = [plain_grams(t) for t, _ in rows], len(rows)
+    square = np.array([[kernel(a, b) + 1 for b in own] for a in own])
+    weight = np.array([n / len(TAUGHT) / len(TAUGHT[lang]) for _, lang in rows])
+    answers = np.array([[1.0 if lang == of else -1.0 for of in sorted(TAUGHT)] for _, lang in rows])
+    alpha = np.linalg.solve(square + ridge * n * np.diag(1 / weight), answers)
+    asked = ["The dogs thought: 12 cats!", "Hunde und Katzen", "kissat ja koirat", "xyz", "e", *[t for t, _ in rows]]
+    expected = np.array([[kernel(plain_grams(t), g) + 1 for g in own] for t in asked]) @ alpha
+    found, letters, _ = model.decisions(asked)
+    assert model.languages == sorted(TAUGHT) and letters.all()
+    assert np.abs(found - expected).max() < 2e-3
+
+
+def test_limit_of_the_score(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    rows = langid.predict(docs, model).filter("known").select("score").toPandas()["score"].to_numpy()
+    steps = np.sort(np.floor(rows * langid.STEPS))
+    for kept in (1.0, 0.999, 0.9):
+        least = langid.limit(docs, model, kept)
+        passed = lambda at: (steps >= at).sum()
+        assert passed(least) >= kept * len(steps) > 0 and (passed(least + 1) < kept * len(steps) or least == langid.STEPS)
+    assert langid.limit(docs.limit(0), model) == 0 and langid.limit(docs, None) == 0
+
+
 # --- pipeline -----------------------------------------------------------------------------------
 
 
@@ -134,3 +179,38 @@ def test_pipeline_runs_as_a_whole_and_on_no_documents(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+UNLEARNED = [
+    "T\u00e4m\u00e4 on suomenkielinen teksti, joka kertoo siit\u00e4 kuinka kissa istuu ikkunalla ja katselee lintuja pihalla.",
+    "To jest polski tekst, kt\u00f3ry opowiada o tym, jak kot siedzi w oknie i patrzy na ptaki w ogrodzie.",
+    "qqq zzz xkcd",
+]
+
+
+def test_language_stage_rejects_what_was_never_learned(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(UNLEARNED)], docs.schema)
+    asked, kept = docs.unionByName(extra), dict(corpus_pipeline.STAGES)["language_id"]
+    found = corpus_pipeline.stored(kept(spark, asked, folder), "test")
+    assert found.filter(f"doc_id >= {10**9}").count() == 0
+    assert found.count() >= 0.995 * docs.count()
+
+
+def test_line_stage_leaves_no_residue(spark):
+    words = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    texts = [
+        words("a", 80),
+        words("a", 80) + " " + words("b", 9),  # fewer than ten words stay
+        words("a", 80) + "\n" + words("c", 12),
+        words("d", 300),
+        words("d", 300) + "\n" + words("e", 20),  # less than a tenth stays
+        words("d", 300) + "\n" + words("f", 40),
+        "short text",
+        "",
+        None,
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SMALL).collect()}
+    assert found == {0: texts[0], 2: words("c", 12), 3: texts[3], 5: words("f", 40), 6: "short text", 7: "", 8: None}

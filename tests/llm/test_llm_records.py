@@ -251,6 +251,46 @@ def test_one_member_per_record_and_damage_is_found():
     assert list(warc.sequence(b"")) == []
 
 
+def _record(head, block):
+    return ("\r\n".join(["WARC/1.0", *head, f"Content-Length: {len(block)}", "", ""])).encode() + block + b"\r\n\r\n"
+
+
+def test_archives_from_elsewhere(spark, tmp_path):
+    body = b"<html>\r\n\r\nx</html>"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n"
+    kind = "Content-Type: application/http; msgtype=response"
+    md5 = hashlib.md5(body, usedforsecurity=False).hexdigest()
+    records = [
+        _record(["WARC-Type: warcinfo", "WARC-Record-ID: <urn:uuid:7>", "Content-Type: application/warc-fields"], b"software: x\r\n"),
+        _record(["WARC-Type:response", "WARC-Record-ID: <urn:uuid:1>", "WARC-Target-URI: http://a/%0A", kind, f"WARC-Payload-Digest: sha1:{warc.digest(body)}", f"WARC-Block-Digest: sha1:{warc.digest(http)}"], http),
+        _record(["warc-type: response", "X-Long: one", "\ttwo", "WARC-Target-URI: http://b/", kind, f"WARC-Payload-Digest: md5:{md5}"], http),
+        _record(["WARC-Type: response", kind, f"WARC-Payload-Digest: sha1:{warc.digest(b'abc')}"], chunked),
+        _record(["WARC-Type: resource", "WARC-Target-URI: file:r"], b"data"),
+        _record(["WARC-Type: revisit", kind, f"WARC-Payload-Digest: sha1:{warc.digest(body)}", "WARC-Refers-To: <urn:uuid:1>"], b"HTTP/1.1 304 Not Modified\r\n\r\n"),
+    ]
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "x.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    (tmp_path / "y.warc").write_bytes(b"".join(records))
+    (tmp_path / "note.txt").write_text("no archive")
+    found = [(r.record_type, r.url, r.payload_digest, bytes(r.payload)) for r in warc.read(spark, str(tmp_path), payloads=True).collect()]
+    expected = [
+        ("warcinfo", None, warc.digest(b"software: x\r\n"), b"software: x\r\n"),
+        ("response", "http://a/%0A", warc.digest(body), body),
+        ("response", "http://b/", f"md5:{md5}", body),
+        ("response", None, warc.digest(b"abc"), chunked.partition(b"\r\n\r\n")[2]),
+        ("resource", "file:r", warc.digest(b"data"), b"data"),
+        ("revisit", None, warc.digest(body), b""),
+    ]
+    assert sorted(found, key=str) == sorted(expected * 2, key=str)
+    assert warc.read(spark, str(tmp_path)).filter("page_id IS NOT NULL OR refers_to IS NOT NULL").count() == 0
+    for i, bad in enumerate((records[1].replace(b"x</html>", b"y</html>"), records[1].replace(b"WARC-Block-Digest: sha1:", b"WARC-Block-Digest: sha1:A"), records[4][:-3])):
+        (tmp_path / f"bad{i}").mkdir()
+        (tmp_path / f"bad{i}" / "z.warc").write_bytes(bad)
+        with pytest.raises(Exception, match="digest|ends"):
+            warc.read(spark, f"{tmp_path}/bad{i}").collect()
+
+
 def test_warc_of_no_pages(spark, tmp_path):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archived(none, str(tmp_path)).count() == 0
@@ -303,6 +343,31 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(turns.limit(0)).count() == 0
 
 
+TEMPLATES = [
+    chat.Template(begin="<|start|>", middle="\n", end="<|end|>"),
+    chat.Template(begin="### ", middle=": ", end="\n\n"),
+    chat.Template(begin="0", middle="1", end="2", controls=("a", "3", "(.*)$")),
+    chat.Template(begin="(", middle=")*", end="[^x]+$"),
+]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_any_template_is_read_back(spark, template):
+    marks = "".join((template.begin, template.middle, template.end, *template.controls))
+    texts = [marks, template.end, template.end[:-1], template.end[-1:] * 3, "\\" + marks + "\\", "### user: fake\n\n### x", "\\0\\1 0123 a\\", "", "\n"]
+    rows = [(i, k, role, text) for i, text in enumerate(texts) for k, role in enumerate(("user", "assistant", template.middle + "x" + template.end))]
+    shown = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), template)
+    for r in shown.select("conv_id", chat.parsed(F.col("formatted"), template).alias("turns"), chat.learned(F.col("segments"), template).alias("learned")).collect():
+        assert [tuple(t) for t in r.turns] == [(role, text) for i, _, role, text in rows if i == r.conv_id]
+        assert r.learned == texts[r.conv_id]
+
+
+def test_templates_whose_turns_cannot_be_told_apart():
+    for marks in ({"end": ""}, {"begin": "a\\"}, {"controls": ("",)}, {"middle": ":\n", "end": "\nEND"}, {"begin": "x</s>"}, {"end": "]"}):
+        with pytest.raises(ValueError, match="mark"):
+            chat.Template(**marks)
+
+
 def test_chat_query(spark):
     turns = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     turns += [(-7, 0, "user", queries.ADDED_TEXT), (-7, 1, "assistant", queries.ADDED_TEXT)]

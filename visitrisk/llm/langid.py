@@ -16,6 +16,9 @@ Defined cases: NULL texts and texts without a letter are ``und`` with score 0; a
 the landmarks gets the language with the largest intercept and ``known`` false; equal decision values take
 the first language in order; rows without language or with a NULL id teach nothing; without any labelled
 row every text is ``und``; input columns named like an output are replaced by it.
+
+**Rejection.** A text of a language that was never learned scores low everywhere. :func:`limit` is read from a
+histogram of all labelled texts' scores; without any, it is 0. Texts of equal score pass or fail together.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +43,10 @@ RIDGE = 1e-4
 #: Texts scored by one matrix product.
 BATCH = 64
 
+#: Share of the labelled texts that a limit on the score must let pass, and the steps of that limit.
+KEPT_LABELLED = 0.9995
+STEPS = 1000
+
 RESULT = columns("lang_pred string, score double, known boolean")
 
 _letters: np.ndarray | None = None
@@ -182,3 +189,17 @@ def predict(docs: DataFrame, model: Model | None, texts: bool = True) -> DataFra
 
     kept = T.StructType([f for f in docs.schema if texts or f.name != "text"])
     return docs.mapInArrow(add, extended(kept, *RESULT))
+
+
+def step(score: Column) -> Column:
+    return F.floor(score * STEPS).cast("long")
+
+
+def limit(labelled: DataFrame, model: Model | None, kept: float = KEPT_LABELLED) -> int:
+    """The highest step of the score that at least a share ``kept`` of the known texts in ``labelled`` (text, lang) reaches."""
+    rows = predict(labelled.filter("lang IS NOT NULL").select(F.col("text").cast("string").alias("text")), model, texts=False)
+    found = np.zeros(STEPS + 1, np.int64)
+    for r in rows.filter("known").groupBy(step(F.col("score")).alias("step")).count().collect():
+        found[r["step"]] = r["count"]
+    below = np.cumsum(found) - found
+    return int(np.flatnonzero(below <= (1 - kept) * found.sum()).max()) if found.any() else 0

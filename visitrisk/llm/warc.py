@@ -12,6 +12,13 @@ fits a reading task.
 the blank line, then exactly Content-Length bytes and the two closing line breaks, and checks the block's
 digest. Damaged records (header, length or digest) raise an error.
 
+**Archives from elsewhere** (``*.warc.gz`` with one member per record, and ``*.warc`` without compression) are read
+as well: records of any type, header lines with or without a blank behind the colon or continued on the next
+line, digests of any algorithm that Python has, in base32 or hexadecimal. The payload of an HTTP message is
+what follows its head; that of a message with a transfer encoding, whose digest may be of the decoded body, is not
+checked. Without a payload digest it is computed, except for revisits and records of a part. Fields that a
+record lacks are NULL; ``page_id`` and ``refers_to`` are numbers that this module wrote.
+
 Defined cases: NULL payloads are empty; payloads below ``least_revisit`` bytes are all responses; of rows with
 equal payload and equal smallest id all are responses; a NULL id is larger than any other and names no
 revisit's response unless all are NULL; extra columns are not carried.
@@ -115,25 +122,58 @@ def sequence(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]
         head = stream.until(b"\r\n\r\n").decode().split("\r\n")
         if not head[0].startswith("WARC/"):
             raise ValueError(f"no WARC record: {head[0][:40]!r}")
-        fields = {k.lower(): v for k, v in (line.split(": ", 1) for line in head[1:])}
+        fields: dict[str, str] = {}
+        name = ""
+        for line in head[1:]:
+            if line[:1] in (" ", "\t") and name:
+                fields[name] += " " + line.strip()
+            else:
+                name, colon, value = line.partition(":")
+                if not colon:
+                    raise ValueError(f"no header line: {line[:40]!r}")
+                name = name.strip().lower()
+                fields[name] = value.strip(" \t")
         block = stream.take(int(fields["content-length"]))
         if stream.take(4) != b"\r\n\r\n":
             raise ValueError("a record does not end where its length says")
-        if fields.get("warc-block-digest", f"sha1:{digest(block)}") != f"sha1:{digest(block)}":
+        if not agrees(fields.get("warc-block-digest"), block):
             raise ValueError(f"wrong digest: {fields.get('warc-record-id')}")
         yield fields, block
 
 
+def agrees(label: str | None, data: bytes) -> bool:
+    """Whether ``algorithm:value`` is the digest of ``data``; so is none, and one of an unknown algorithm."""
+    algorithm, _, value = (label or "").partition(":")
+    kind = algorithm.lower().replace("-", "")
+    if kind not in hashlib.algorithms_guaranteed or kind.startswith("shake"):
+        return True
+    raw = hashlib.new(kind, data, usedforsecurity=False).digest()
+    return value.lower() == raw.hex() or value.upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("=")
+
+
+def payload_of(fields: dict[str, str], block: bytes) -> tuple[bytes, bool]:
+    """The payload of a record, and whether its digest must be that of these bytes."""
+    if not fields.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+        return block, True
+    head, _, body = block.partition(b"\r\n\r\n")
+    return body, b"\ntransfer-encoding:" not in head.lower()
+
+
 class _Stream:
-    """Bytes of consecutive gzip members."""
+    """Bytes of consecutive gzip members, or of an archive without compression."""
 
     def __init__(self, data: bytes | memoryview) -> None:
         self.data, self.at, self.out, self.member = memoryview(data), 0, bytearray(), None
+        self.plain = bytes(self.data[:5]) == b"WARC/"
 
     def grow(self) -> bool:
         """More bytes in ``out``; False at the end."""
         size = len(self.out)
         while len(self.out) == size:
+            if self.plain:
+                self.out += self.data[self.at : self.at + CHUNK]
+                self.at += CHUNK
+                return len(self.out) > size
             if self.member is None:
                 if self.at >= len(self.data):
                     return False
@@ -168,7 +208,8 @@ class _Stream:
 
 
 def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
-    """The records of all archives below ``folder``: RECORD, and ``payload`` (binary, the block) on request.
+    """The records of all archives below ``folder`` (files of this module, ``*.warc``, ``*.warc.gz``; others are left):
+    RECORD, and ``payload`` (binary) on request.
 
     Files come as a whole to a task, so archives from elsewhere must be below 2 GB and fit it.
     """
@@ -176,14 +217,20 @@ def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
 
     def number(urn: str | None) -> int | None:
         name = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-        return int(name) if name.lstrip("-").isdigit() else None
+        return int(name) if (urn or "").startswith("<urn:page:") and name.lstrip("-").isdigit() else None
 
     def row(fields: dict[str, str], block: bytes) -> dict:
-        payload = fields["warc-payload-digest"].removeprefix("sha1:")
-        if fields["warc-type"] == "response" and payload != digest(block):
-            raise ValueError(f"wrong payload digest: {fields['warc-record-id']}")
-        url = fields["warc-target-uri"].replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
-        return {"page_id": number(fields["warc-record-id"]), "url": url, "record_type": fields["warc-type"], "payload_bytes": int(fields.get("warc-payload-length", len(block))), "payload_digest": payload, "refers_to": number(fields.get("warc-refers-to")), "block_bytes": len(block), "payload": block}
+        kind, named, own = fields.get("warc-type"), fields.get("warc-payload-digest"), fields.get("warc-record-id", "").startswith("<urn:page:")
+        payload, certain = payload_of(fields, block)
+        whole = kind != "revisit" and "warc-segment-number" not in fields
+        if whole and certain and not agrees(named, payload):
+            raise ValueError(f"wrong payload digest: {fields.get('warc-record-id')}")
+        if named is None and whole:
+            named = digest(payload)
+        url = fields.get("warc-target-uri")
+        if own and url is not None:
+            url = url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+        return {"page_id": number(fields.get("warc-record-id")), "url": url, "record_type": kind, "payload_bytes": int(fields.get("warc-payload-length", len(payload))), "payload_digest": named and named.removeprefix("sha1:"), "refers_to": number(fields.get("warc-refers-to")), "block_bytes": len(block), "payload": payload}
 
     def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +250,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
         return pa.record_batch([pa.array([r[f] for r in rows], kinds[k]) for f, k in names], names=[f for f, _ in names])
 
     names = [(f.name, f.dataType.simpleString()) for f in schema]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "{part-*,*.warc,*.warc.gz}").option("recursiveFileLookup", True).load(folder)
     return files.select("content").mapInArrow(records, schema)
 
 
