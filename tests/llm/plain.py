@@ -79,24 +79,22 @@ def linked(prints, bits=3):
 
 
 def removed_lines(docs, min_words):
-    """For each document, in the order given by its key, the numbers of the lines that go."""
-    seen, gone = set(), {}
+    """For each document, in the order given by its key, the numbers of the lines in maximal repeats of earlier lines."""
+    spoken, gone, places = {}, {}, defaultdict(list)
     for key, text in docs:
-        lines = [SPACE_WORD.findall(x) for x in (text or "").split("\n")]
-        at = [i for i, x in enumerate(lines) if x]
-        out = set()
-        for k in range(len(at)):
-            size, end = 0, k
-            while end < len(at) and size < min_words:
-                size += len(lines[at[end]])
-                end += 1
-            if size < min_words:
-                continue
-            content = tuple(tuple(lines[i]) for i in at[k:end])
-            if content in seen:
-                out |= set(range(at[k], at[end - 1] + 1))
-            seen.add(content)
-        gone[key] = out
+        lines = [(i, tuple(SPACE_WORD.findall(x))) for i, x in enumerate((text or "").split("\n"))]
+        own = spoken[key] = [(i, words) for i, words in lines if words]
+        out = gone[key] = set()
+        for k, (_, line) in enumerate(own):
+            for other, j in places[line]:
+                theirs, n = spoken[other], 0
+                if j and k and theirs[j - 1][1] == own[k - 1][1]:
+                    continue  # the repeat begins earlier
+                while k + n < len(own) and j + n < len(theirs) and own[k + n][1] == theirs[j + n][1]:
+                    n += 1
+                if sum(len(words) for _, words in own[k : k + n]) >= min_words:
+                    out |= set(range(own[k][0], own[k + n - 1][0] + 1))
+            places[line].append((key, k))
     return gone
 
 

@@ -1,16 +1,16 @@
 """Line dedup: winnowed line hashes find the runs of lines that occur before, and later copies are deleted.
 
 A run is a sequence of lines with words (other lines in between don't count) of at least ``min_words`` words.
-From each line starts one shortest such run, its *window*. The windows cover a repeated run but for its last
-lines, where these have fewer words than a window needs. With ``both_ends`` there is also the shortest such run
-that ends at each line, and every repeated run is a union of windows.
+The shortest such run from each line, and the shortest that ends at each line, are its *windows*. Every repeated run
+is a union of windows, from its first line to its last. Without ``both_ends`` there are only those that start at a
+line, and a repeated run keeps its last lines where these have fewer words than a window needs.
 Winnowing keeps, for each window, only its line with the smallest hash as fingerprint (the last of equal
 ones). Equal windows keep equal lines, so a repeated run always has a repeated fingerprint. Fingerprints are
 joined by hash; where one repeats, the windows that extend it both ways are compared by a 128-bit hash.
 A line is deleted if it lies in a window equal to one that begins earlier, in the order of document id, text
 hash and line; thus one copy of every run stays.
 
-Lines are compared by their words (``[^\\x20\\x09-\\x0D]+``). Defined cases: NULL texts stay NULL and empty
+Lines are compared by their words (``[^\\x20\\x09-\\x0D]+``). A line without words goes with a window around it. Defined cases: NULL texts stay NULL and empty
 ones empty; NULL document ids come first; rows repeated in full count as one document and get one result;
 of rows with one id and different texts each is a document; input columns named like an output are replaced.
 """
@@ -42,7 +42,7 @@ def lines_with_words(text: str | None) -> tuple[list[bytes], list[int], list[int
     return lines, [i for i, n in enumerate(counts) if n], [n for n in counts if n]
 
 
-def _windows(sums: np.ndarray, min_words: int, both_ends: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def _windows(sums: np.ndarray, min_words: int, both_ends: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """First and last line of each window."""
     last = np.searchsorted(sums, sums[:-1] + min_words) - 1
     first = np.flatnonzero(last < len(sums) - 1)
@@ -54,7 +54,7 @@ def _windows(sums: np.ndarray, min_words: int, both_ends: bool = False) -> tuple
     return first, last
 
 
-def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool = True) -> DataFrame:
     """One row per winnowed line of each document, with the windows whose minimum it is."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +84,7 @@ def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool =
     return keyed.mapInArrow(cut, schema)
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool = False) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool = True) -> DataFrame:
     """doc_id, text_hash and runs (first and last line) of the windows that begin earlier elsewhere.
 
     Both joins are by a hash that may be hot; each side has an exchange of its own, so adaptive execution can
@@ -105,11 +105,11 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool =
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, both_ends: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, any more) with the later copies of repeated runs cut out of ``text``, and RESULT.
 
     ``n_lines`` counts lines with words before the cut. A document whose whole text goes keeps its row, with
-    the empty text. ``both_ends`` cuts repeated runs to their last line.
+    the empty text.
     """
     runs = repeated_runs(docs, min_words, both_ends).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("runs").alias("__runs"))
     match = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))

@@ -30,10 +30,11 @@ lines AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS line_no, unnest(par
 spoken AS (SELECT *, array_to_string(w, ' ') AS plain, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k,
   sum(len(w)) OVER (PARTITION BY doc_id ORDER BY line_no) AS upto
   FROM (SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM lines) WHERE len(w) > 0),
-spans AS (SELECT a.doc_id, a.k AS first, min(b.k) AS last FROM spoken a JOIN spoken b
-  ON a.doc_id = b.doc_id AND b.k BETWEEN a.k AND a.k + {min_words - 1} AND b.upto - a.upto + len(a.w) >= {min_words} GROUP BY a.doc_id, a.k),
+runs AS (SELECT a.doc_id, a.k AS first, b.k AS last FROM spoken a JOIN spoken b
+  ON a.doc_id = b.doc_id AND b.k BETWEEN a.k AND a.k + {min_words - 1} AND b.upto - a.upto + len(a.w) >= {min_words}),
+spans AS (SELECT doc_id, first, min(last) AS last FROM runs GROUP BY doc_id, first UNION SELECT doc_id, max(first), last FROM runs GROUP BY doc_id, last),
 windows AS (SELECT s.doc_id, s.first, min(l.line_no) AS from_line, max(l.line_no) AS to_line, string_agg(l.plain, chr(10) ORDER BY l.k) AS content
-  FROM spans s JOIN spoken l ON s.doc_id = l.doc_id AND l.k BETWEEN s.first AND s.last GROUP BY s.doc_id, s.first),
+  FROM spans s JOIN spoken l ON s.doc_id = l.doc_id AND l.k BETWEEN s.first AND s.last GROUP BY s.doc_id, s.first, s.last),
 later AS (SELECT * FROM windows QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, first) > 1),
 gone AS (SELECT DISTINCT doc_id, unnest(range(from_line, to_line + 1)) AS line_no FROM later),
 kept AS (SELECT l.doc_id, count(g.line_no) AS cut, COALESCE(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (g.line_no IS NULL), '') AS text
