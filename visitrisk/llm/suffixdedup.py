@@ -160,13 +160,18 @@ def _own(texts: list[bytes], bounds: list[int], fields: dict[str, np.ndarray], t
     return np.array(fine, bool), begin, size
 
 
-def _asked(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """Texts with those rows of ``asked`` (doc, at, span, any more) that are of their document.
+def _lists_of(asked: DataFrame) -> DataFrame:
+    """One row per document with the list of its rows of ``asked`` (doc, at, span, any more).
 
-    The lists are written, so that both sides of the join have an exchange of their own.
+    To be written before :func:`_asked` joins it, so that both sides of the join have an exchange of their own.
     """
-    lists = asked.groupBy("doc").agg(F.collect_list(F.struct(*[c for c in asked.columns if c != "doc"])).alias("asked"))
-    lists = stored(lists.withColumnRenamed("doc", "__doc"), "asked")
+    fields = [c for c in asked.columns if c != "doc"]
+    return asked.groupBy("doc").agg(F.collect_list(F.struct(*fields)).alias("asked"))
+
+
+def _asked(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Texts with the lists of their documents."""
+    lists = lists.withColumnRenamed("doc", "__doc")
     return _keyed(docs).join(lists, F.col("doc") == F.col("__doc")).select("doc", "text", "asked")
 
 
@@ -187,8 +192,8 @@ def _grams(data: bytes, begins: np.ndarray, threshold: int, gram: int) -> list[i
     return mixed((sums[:, gram:] - sums[:, : threshold - gram + 1]) * down[: threshold - gram + 1]).argmin(axis=1).tolist()
 
 
-def cores(docs: DataFrame, asked: DataFrame, threshold: int, gram: int) -> DataFrame:
-    """Digit 3 of the stretches ``asked`` (doc, at, span), with a bit for each window it is of.
+def cores(docs: DataFrame, lists: DataFrame, threshold: int, gram: int) -> DataFrame:
+    """Digit 3 of the stretches in ``lists`` (at, span), with a bit for each window it is of.
 
     A gram may be in a stretch several times; a window that holds two of them has a digit for each.
     """
@@ -222,11 +227,11 @@ def cores(docs: DataFrame, asked: DataFrame, threshold: int, gram: int) -> DataF
             parts = [np.array(content, np.int64), doc[of], fields["at"][of], fields["span"][of], windows]
             yield pa.record_batch([pa.array(x) for x in parts], names=CORES.names)
 
-    return _asked(docs, asked).mapInArrow(cut, CORES)
+    return _asked(docs, lists).mapInArrow(cut, CORES)
 
 
-def windows(docs: DataFrame, asked: DataFrame, threshold: int) -> DataFrame:
-    """Digit 4 of the windows of ``asked`` (doc, at, span, windows)."""
+def windows(docs: DataFrame, lists: DataFrame, threshold: int) -> DataFrame:
+    """Digit 4 of the windows in ``lists`` (at, span, windows)."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
@@ -241,7 +246,7 @@ def windows(docs: DataFrame, asked: DataFrame, threshold: int) -> DataFrame:
             parts = [head, tail, batch.column("doc").to_numpy()[row], fields["span"][of], number.astype(np.int32)]
             yield pa.record_batch([pa.array(np.ascontiguousarray(x)) for x in parts], names=WINDOWS.names)
 
-    return _asked(docs, asked).mapInArrow(cut, WINDOWS)
+    return _asked(docs, lists).mapInArrow(cut, WINDOWS)
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -263,28 +268,38 @@ def _several(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def repeated(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
-    """doc, at and span of the stretches with windows that an earlier document has, and ``windows``, a bit for each."""
+    """doc, at and span of the stretches with windows that an earlier document has, and ``windows``, a bit for each.
+
+    What a step wrote goes once nothing reads it any more, so that the disk holds little besides a step's own shuffle.
+    """
     gram = max(min(gram, threshold // 2), threshold - STRETCH, 1)
     work = f"{application_folder(docs.sparkSession, 'llm')}/suffixes-{uuid4().hex}"
-    shared = _written(_several(digits(docs, threshold, gram, spans=False), "digit").select("digit"), f"{work}/digits")
-    found = _written(digits(docs, threshold, gram, spans=True).join(shared, "digit", "left_semi"), f"{work}/stretches")
+
+    def write(name: str, df: DataFrame, *done: str) -> DataFrame:
+        out = _written(df, f"{work}/{name}")
+        for read in done:
+            remove(docs.sparkSession, f"{work}/{read}")
+        return out
+
+    shared = write("digits", _several(digits(docs, threshold, gram, spans=False), "digit").select("digit"))
+    found = write("stretches", digits(docs, threshold, gram, spans=True).join(shared, "digit", "left_semi"), "digits")
     spans = found.groupBy("digit", "span").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
-    spans = _written(spans.select("digit", "span", F.col("first.doc").alias("doc"), "first.at", "last"), f"{work}/spans")
+    spans = write("spans", spans.select("digit", "span", F.col("first.doc").alias("doc"), "first.at", "last"))
 
     again = spans.filter("last > doc").select("digit", "span", F.col("doc").alias("least"))
     whole = found.join(again, ["digit", "span"]).filter("doc > least").select("doc", "at", "span", F.lit(_ALL).cast("long").alias("windows"))
+    whole = write("whole", whole)
 
-    asked = _written(spans.join(_several(spans, "digit"), "digit", "left_semi").select("doc", "at", "span"), f"{work}/asked")
-    parts = _written(cores(docs, asked, threshold, gram), f"{work}/cores")
+    asked = spans.join(_several(spans, "digit"), "digit", "left_semi").select("doc", "at", "span")
+    lists = write("asked", _lists_of(asked), "spans")
+    parts = write("cores", cores(docs, lists, threshold, gram), "asked")
     parts = parts.join(_several(parts, "core").select("core"), "core", "left_semi")
-    asked = _written(parts.groupBy("doc", "at", "span").agg(F.bit_or("windows").alias("windows")), f"{work}/open")
-    alone = _written(windows(docs, asked, threshold), f"{work}/windows")
+    lists = write("open", _lists_of(parts.groupBy("doc", "at", "span").agg(F.bit_or("windows").alias("windows"))), "cores")
+    alone = write("windows", windows(docs, lists, threshold), "open")
     later = alone.join(_several(alone, "head", "tail"), ["head", "tail"]).filter("doc > least")
-    bits = _written(later.groupBy("doc", "span").agg(F.bit_or(F.expr("shiftleft(1L, number)")).alias("windows")), f"{work}/bits")
-    for done in ("digits", "asked", "cores", "open", "windows"):
-        remove(docs.sparkSession, f"{work}/{done}")
-    part = found.join(bits, ["doc", "span"]).select("doc", "at", "span", "windows")
-    return _written(whole, f"{work}/whole").unionByName(_written(part, f"{work}/part"))
+    bits = write("bits", later.groupBy("doc", "span").agg(F.bit_or(F.expr("shiftleft(1L, number)")).alias("windows")), "windows")
+    part = write("part", found.join(bits, ["doc", "span"]).select("doc", "at", "span", "windows"), "bits", "stretches")
+    return whole.unionByName(part)
 
 
 def dedup(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
