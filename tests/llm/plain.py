@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators, by definition rather than by method."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -66,6 +67,27 @@ def rule_counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), duplicates, len(repeated)
 
 
+def isolation(values, trees, size):
+    """Isolation score of one row: a walk down each tree."""
+
+    def walk(tree, at=0):
+        feature, value, child, path = (column[at] for column in tree)
+        return path if feature < 0 else walk(tree, child + (values[feature] >= value))
+
+    harmonic = 2 * (math.log(size - 1) + 0.5772156649) - 2 * (size - 1) / size
+    return 2 ** (-sum(walk(t) for t in trees) / len(trees) / harmonic)
+
+
+def calibrated(good, bad, share, grid):
+    """Of all limits that refuse at most ``share`` of the good scores, the highest with the largest gain."""
+    best = (0, math.inf)
+    for limit in (k / grid for k in range(grid + 2)):
+        lost, found = (sum(math.floor(x * grid) >= round(limit * grid) for x in rows) for rows in (good, bad))
+        if lost <= share * len(good):
+            best = max(best, (found / len(bad) - lost / len(good), limit))
+    return best[1]
+
+
 def simhash(text):
     words = SPACE_WORD.findall(lower(text))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,26 @@ def test_quality_keeps_good_and_refuses_bad_rows(spark):
     assert share[1] > 0.99 and share[0] < 0.2
 
 
+@pytest.mark.parametrize("refused_good", [0.002, 0.05])
+def test_kept_rows_equal_plain_version(spark, refused_good):
+    docs, labels = (spark.read.parquet(f"{SF_LARGER}/{name}.parquet") for name in ("documents", "labels"))
+    counted = quality.stored(quality.with_counts(docs.select("doc_id", "text"), texts=False), "counted")
+    trees, size = quality.fit(counted)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    found = {r.doc_id: r for r in quality.judge(docs, labels, refused_good).collect()}
+    scores = {}
+    for r in counted.collect():
+        values = quality.statistics(np.array([[r[c] for c in quality.COUNTS.names]]))[0]
+        scores[r.doc_id] = plain.isolation(values.tolist(), trees, size)
+        assert scores[r.doc_id] == pytest.approx(found[r.doc_id].anomaly, abs=1e-9)
+    passed = {d: found[d].anomaly for d in scores if not found[d].base_failed and marks.get(d) is not None}
+    good, bad = ([x for d, x in passed.items() if (marks[d] > 0) == kind] for kind in (True, False))
+    limit = plain.calibrated(good, bad, refused_good, quality.GRID)
+    assert good and bad and 0 < limit < 1
+    assert {d: r.kept for d, r in found.items()} == {d: not r.base_failed and r.anomaly < limit for d, r in found.items()}
+    assert 0 < sum(not r.kept and not r.base_failed for r in found.values()) < len(found)
+
+
 def test_quality_of_edge_cases(spark, edge):
     labels = spark.createDataFrame([(6, None, 1)], "doc_id long, quality int, toxic int")
     rows = quality.judge(edge, labels).collect()
@@ -116,8 +137,6 @@ def test_quality_of_edge_cases(spark, edge):
 
 def test_isolation_forest_finds_the_outlier(spark):
     values = [[0.01 * random.Random(i).random(), 0.1 * random.Random(-i).random(), 1.0] for i in range(500)] + [[0.9, 3.0, 0.2]]
-    import numpy as np
-
     rows, rng = np.array(values), np.random.default_rng(1)
     trees = [quality.grow(rows[rng.choice(len(rows), 256, replace=False)], rng) for _ in range(50)]
     scores = quality.anomaly(rows, trees, 256)
