@@ -175,6 +175,6 @@ def threshold(rows: DataFrame, labels: DataFrame, refused_good: float = REFUSED_
 def judge(docs: DataFrame, labels: DataFrame, refused_good: float = REFUSED_GOOD) -> DataFrame:
     """doc_id, COUNTS, base_failed, anomaly and kept for every row of ``docs`` (doc_id, text)."""
     counted = stored(with_counts(docs.select("doc_id", F.col("text").cast("string").alias("text")), texts=False), "counted")
-    rows = scored(counted, fit(counted))
+    rows = stored(scored(counted, fit(counted)), "scored")  # read for the threshold and for the result
     limit = threshold(rows, labels, refused_good)
     return rows.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < limit))
