@@ -10,9 +10,10 @@ joined by hash; where one repeats, the windows that extend it both ways are comp
 A line is deleted if it lies in a window equal to one that begins earlier, in the order of document id, text
 hash and line; thus one copy of every run stays.
 
-Lines are compared by their words (``[^\\x20\\x09-\\x0D]+``). A line without words goes with a window around it. Defined cases: NULL texts stay NULL and empty
-ones empty; NULL document ids come first; rows repeated in full count as one document and get one result;
-of rows with one id and different texts each is a document; input columns named like an output are replaced.
+Lines are compared by their words (``[^\\x20\\x09-\\x0D]+``). A line without words goes with a window around it.
+Defined cases: NULL texts stay NULL and empty ones empty; NULL document ids come first; rows repeated in full count
+as one document and get one result; of rows with one id and different texts each is a document; input columns named
+like an output are replaced.
 """
 
 from __future__ import annotations
