@@ -1,10 +1,13 @@
 from dataclasses import replace
 from datetime import datetime
 
+import numpy as np
 import pytest
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from visitrisk.operators import model as boost
+from visitrisk.operators import trees
 from visitrisk.operators.encode import write_codes
 from visitrisk.operators.matrix import FEATURES, assembler, feature_matrix
 from visitrisk.spec import FeatureSpec
@@ -113,6 +116,59 @@ def test_leaves_are_shrunk_by_the_penalty(spark, penalty):
         assert r["low"] == r["high"] == pytest.approx(expected[r["b"]])
 
 
+def test_a_round_is_one_pass_a_level_and_one_more(spark):
+    jobs = {}
+    for rounds in (2, 5):
+        spark.sparkContext.setJobGroup(f"rounds {rounds}", "boosting")
+        boost.train(learnable(spark), SPEC.model_features, replace(PARAMS, rounds=rounds))
+        jobs[rounds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds {rounds}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[5] - jobs[2] == 3 * (PARAMS.max_depth + 1)
+
+
+def test_the_first_tree_is_that_of_all_values(spark):
+    """With few values a column, bins lose nothing: the tree is the one MLlib fits to the same rows."""
+    names = ["b", "c_ENCODED", "n"]
+    rows = learnable(spark).withColumn("n", F.floor(F.col("n") * 40) / 8)
+    params = replace(PARAMS, rounds=1, max_depth=4, row_share=1.0, column_share=1.0, leaf_penalty=0.0)
+    ours = boost.train(rows, names, params).pipeline.transform(rows).select("id", "prediction").collect()
+    vectors = assembler(names).transform(rows)
+    plain = DecisionTreeRegressor(featuresCol=FEATURES, labelCol="label", maxDepth=4, maxBins=256).fit(vectors.filter("data_split = 'TRAIN'"))
+    expected = dict(plain.transform(vectors).select("id", "prediction").collect())
+    assert {r["id"]: r["prediction"] for r in ours} == pytest.approx(expected)
+    assert len(set(expected.values())) > 8
+
+
+def test_odd_features_are_binned_as_they_are_scored(spark):
+    """NaN, NULL, infinite and repeated values: errors from the residuals are those of the stored model."""
+    odd = F.when(F.col("id") % 5 == 0, float("nan")).when(F.col("id") % 7 == 1, None).when(F.col("id") % 11 == 0, float("inf"))
+    odd = odd.when(F.col("id") % 13 == 0, float("-inf")).when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("n"))
+    rows = learnable(spark).withColumn("n", odd).unionByName(learnable(spark, 300))
+    trained = boost.train(rows, SPEC.model_features, replace(PARAMS, bins=16, column_share=1.0, keep_best=False))
+    measured = {r["dataset"]: r["rmse"] for r in trained.metrics.collect()}
+    assert measured["TRAIN"] == pytest.approx(trained.training_errors[-1] ** 0.5)
+    assert measured["VALIDATION"] == pytest.approx(trained.validation_errors[-1] ** 0.5)
+
+
+def test_passes_over_parts_of_a_level_give_the_same_model(spark, trained):
+    parts = boost.train(learnable(spark), SPEC.model_features, replace(PARAMS, histogram_mb=0))
+    assert parts.training_errors == pytest.approx(trained.training_errors)
+
+
+def test_cut_points_use_all_rows(spark):
+    rows = spark.range(100_000).select(F.col("id").alias("many"), (F.col("id") >= 99_999).cast("int").alias("seldom"), F.lit(3).alias("one"))
+    many, seldom, one = trees.cut_points(rows, ["many", "seldom", "one"], 256)
+    assert np.abs(many - np.arange(1, 256) * 100_000 / 256).max() < 25
+    assert seldom.tolist() == [0.5] and one.tolist() == []
+
+
+@pytest.mark.parametrize("rows", ["data_split = 'TEST'", "id >= 0"])
+def test_training_rows_without_a_label_are_an_error(spark, rows):
+    bad = learnable(spark).withColumn("label", F.when(F.col("id") != 5, F.col("label"))).filter(rows)
+    with pytest.raises(ValueError, match="training rows"):
+        boost.train(bad, SPEC.model_features, PARAMS)
+
+
 def test_scores_keep_ids_and_stored_order(spark, trained):
     codes = spark.createDataFrame([("c", str(i), i) for i in range(5)], "feature string, value string, code int")
     cleaned = learnable(spark).select("n", "id", F.col("c_ENCODED").cast("string").alias("c"), "b")
